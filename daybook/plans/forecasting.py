@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import forecast as fc
-from ..sources.panel import TRAIN_END, VALID_END, VALID_START, sales_panel
+from ..sources.panel import TRAIN_END, VALID_END, VALID_START, panel_table
 from . import sqlparts as S
 from .registry import query
 
 
 def _train_valid(spark, sf_dir):
-    panel = sales_panel(spark, sf_dir)
+    panel = panel_table(spark, sf_dir)
     train = panel.where(F.col("day") <= TRAIN_END)
     valid = panel.where(F.col("day").between(VALID_START, VALID_END))
     return panel, train, valid

@@ -24,11 +24,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .tables import read_table
 
 # Group numbers of the product types in the driver tables.
 GROUP_LABELS = {1: "ECONOMY", 2: "LARGE", 3: "MEDIUM", 4: "PROMO", 5: "SMALL", 6: "STANDARD"}
 
+# Region names of the driver tables (the "states" of the
+# state calendars).
+REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
 # Split table (train / validation / test) used by every forecasting query.
 SPLITS = [
     ("train", "1990-01-01", "1999-12-31"),
@@ -64,8 +69,24 @@ def sales_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("l_quantity").alias("units"), F.count(F.lit(1)).alias("lines")))
 
 
+def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales panel, built once and checkpointed to the shared folder.
+
+    Every later step (calendar bounds, scalar subqueries, size checks, fit
+    and score) reads this small table (days x groups rows) instead of
+    re-running the fact join; the checkpoint also cuts the lineage, so a
+    lost executor never recomputes the fact join.
+    """
+    return materialize(sales_panel(spark, sf_dir))
+
+
+def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``daily_measures``, checkpointed like ``panel_table``."""
+    return materialize(daily_measures(spark, sf_dir))
+
+
 def priority_code(c: Column) -> Column:
-    return F.try_cast(F.substring(c, 1, 1), "int")
+    return F.substring(c, 1, 1).try_cast("int")
 
 
 def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
