@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from .numeric import rnd
 from pyspark.sql import types as T
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -29,7 +30,7 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 
 def round_columns(df: DataFrame, cols: list[str], digits: int = 2) -> DataFrame:
     """Round the given columns."""
-    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[rnd(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def column_difference(expected: list[str], df: DataFrame) -> dict[str, list[str]]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from ..functions.numeric import rnd
 
 from .profile import histogram
 
@@ -27,7 +28,7 @@ def metric_aggs(actual: str = "actual", pred: str = "pred", digits: int | None =
     n = F.count(y)
     sse = F.sum(e * e)
     sst = F.sum(y * y) - F.sum(y) * F.sum(y) / n
-    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    r = (lambda c: rnd(c, digits)) if digits is not None else (lambda c: c)
     nz = y != 0
     return [
         n.alias("n"),
@@ -76,7 +77,7 @@ def mean_group_mae(df: DataFrame, group: str = "grp", actual: str = "actual",
                    pred: str = "pred") -> DataFrame:
     """V8: average of the per-group MAE (groups weigh equally)."""
     per = df.groupBy(group).agg(F.avg(F.abs(_e(actual, pred))).alias("mae"))
-    return per.agg(F.round(F.avg("mae"), 6).alias("mean_group_mae"),
+    return per.agg(rnd(F.avg("mae"), 6).alias("mean_group_mae"),
                    F.count(F.lit(1)).alias("n_groups"))
 
 
@@ -99,8 +100,8 @@ def split_comparison(df: DataFrame, split: str = "split", group: str = "grp",
     aggs = []
     for s in splits:
         m = F.col(split) == s
-        aggs += [F.round(F.avg(F.when(m, F.abs(e))), 6).alias(f"mae_{s}"),
-                 F.round(F.sqrt(F.avg(F.when(m, e * e))), 6).alias(f"rmse_{s}"),
+        aggs += [rnd(F.avg(F.when(m, F.abs(e))), 6).alias(f"mae_{s}"),
+                 rnd(F.sqrt(F.avg(F.when(m, e * e))), 6).alias(f"rmse_{s}"),
                  F.count(F.when(m, 1)).alias(f"n_{s}")]
     return df.groupBy(group).agg(*aggs)
 
@@ -125,7 +126,7 @@ def prediction_summary(df: DataFrame, pred: str = "pred", day: str = "day",
         F.countDistinct(day).alias("n_days"),
         F.count(F.when(p == 0, 1)).alias("n_zero"),
         F.count(F.when(p < 0, 1)).alias("n_negative"),
-        F.round(F.avg(p), 6).alias("mean"),
+        rnd(F.avg(p), 6).alias("mean"),
         F.min(p).alias("min"),
         F.max(p).alias("max"),
     )

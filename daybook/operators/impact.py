@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from ..functions.numeric import rnd
 
 from ..sizing import checked_broadcast
 from .profile import describe
@@ -48,10 +49,10 @@ def uplift(df: DataFrame, flag: str, value: str, by: list[str] | None = None,
         F.avg(F.when(f, v)).alias("event_mean"), F.avg(F.when(~f, v)).alias("base_mean"),
         F.count(F.when(f, v)).alias("event_n"), F.count(F.when(~f, v)).alias("base_n"))
     return (g.where(F.col("event_n") > 0)
-            .withColumn("uplift_pct", F.round((F.col("event_mean") / F.col("base_mean") - 1) * 100,
+            .withColumn("uplift_pct", rnd((F.col("event_mean") / F.col("base_mean") - 1) * 100,
                                               digits))
-            .withColumn("event_mean", F.round("event_mean", digits))
-            .withColumn("base_mean", F.round("base_mean", digits)))
+            .withColumn("event_mean", rnd("event_mean", digits))
+            .withColumn("base_mean", rnd("base_mean", digits)))
 
 
 def event_intervals(df: DataFrame, event: str, value: str, by: list[str] | None = None,
@@ -64,8 +65,8 @@ def event_intervals(df: DataFrame, event: str, value: str, by: list[str] | None
                                            F.stddev_samp(v).alias("sd"))
     sem = F.col("sd") / F.sqrt(F.col("samples"))
     return (g.where(F.col("samples") >= min_samples)
-            .select(*(by or []), event, "samples", F.round("mean", digits).alias("mean"),
-                    F.round(sem * t975(F.col("samples") - 1), digits).alias("ci"),
+            .select(*(by or []), event, "samples", rnd("mean", digits).alias("mean"),
+                    rnd(sem * t975(F.col("samples") - 1), digits).alias("ci"),
                     (F.col("samples") < warn_below).alias("small_sample")))
 
 
@@ -75,8 +76,8 @@ def event_history(df: DataFrame, event_days: DataFrame, value: str, group: str =
     (semi join: filter only, the day set adds no columns)."""
     ev = df.join(checked_broadcast(event_days.select(day).distinct()), day, "left_semi")
     v = F.col(value)
-    return ev.groupBy(group).agg(F.count(v).alias("n"), F.round(F.avg(v), digits).alias("mean"),
-                                 F.round(F.stddev_samp(v), digits).alias("std"),
+    return ev.groupBy(group).agg(F.count(v).alias("n"), rnd(F.avg(v), digits).alias("mean"),
+                                 rnd(F.stddev_samp(v), digits).alias("std"),
                                  F.min(v).alias("min"), F.max(v).alias("max"))
 
 
@@ -92,5 +93,5 @@ def event_split_stats(df: DataFrame, flag: str, value: str, keys: list[str],
     """E7 (keys = split) / E8 (keys = split, group): mean, max, min of event
     rows."""
     v = F.when(F.col(flag).cast("boolean"), F.col(value))
-    return df.groupBy(*keys).agg(F.count(v).alias("n"), F.round(F.avg(v), digits).alias("mean"),
+    return df.groupBy(*keys).agg(F.count(v).alias("n"), rnd(F.avg(v), digits).alias("mean"),
                                  F.max(v).alias("max"), F.min(v).alias("min"))

@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from ..functions.numeric import rnd
 
 from ..sizing import checked_broadcast
 
@@ -29,7 +30,7 @@ def _quantile(c: Column, p: float, approx: bool) -> Column:
 
 def _describe_aggs(col: str, approx: bool, digits: int | None) -> list[Column]:
     c = F.col(col).cast("double")
-    r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
+    r = (lambda x: rnd(x, digits)) if digits is not None else (lambda x: x)
     return [
         F.count(c).alias(f"{col}__count"),
         r(F.avg(c)).alias(f"{col}__mean"),
@@ -61,7 +62,7 @@ def describe(df: DataFrame, cols: list[str], by: list[str] | None = None,
 def mean_by(df: DataFrame, keys: list[str], value: str, std: bool = False,
             digits: int | None = None, name: str = "mean") -> DataFrame:
     """A3 (mean by key) / A4 (mean and sample std, rounded)."""
-    r = (lambda x: F.round(x, digits)) if digits is not None else (lambda x: x)
+    r = (lambda x: rnd(x, digits)) if digits is not None else (lambda x: x)
     aggs = [r(F.avg(value)).alias(name)]
     if std:
         aggs.append(r(F.stddev_samp(value)).alias("std"))
@@ -76,8 +77,8 @@ def split_side_by_side(df: DataFrame, group: str, split: str, value: str,
     v = F.col(value)
     for s in splits:
         m = F.col(split) == s
-        aggs += [F.round(F.avg(F.when(m, v)), digits).alias(f"mean_{s}"),
-                 F.round(F.stddev_samp(F.when(m, v)), digits).alias(f"std_{s}"),
+        aggs += [rnd(F.avg(F.when(m, v)), digits).alias(f"mean_{s}"),
+                 rnd(F.stddev_samp(F.when(m, v)), digits).alias(f"std_{s}"),
                  F.count(F.when(m, v)).alias(f"count_{s}")]
     return df.groupBy(group).agg(*aggs)
 
@@ -86,8 +87,8 @@ def basic_stats(df: DataFrame, keys: list[str], value: str, digits: int = 6) ->
     """Count, mean, std, min, max by key."""
     v = F.col(value)
     return df.groupBy(*keys).agg(
-        F.count(v).alias("count"), F.round(F.avg(v), digits).alias("mean"),
-        F.round(F.stddev_samp(v), digits).alias("std"), F.min(v).alias("min"),
+        F.count(v).alias("count"), rnd(F.avg(v), digits).alias("mean"),
+        rnd(F.stddev_samp(v), digits).alias("std"), F.min(v).alias("min"),
         F.max(v).alias("max"))
 
 
@@ -100,13 +101,13 @@ def monthly_mean(df: DataFrame, value: str, day: str = "day", keys: list[str] |
                  digits: int = 6) -> DataFrame:
     """Monthly mean trend (month bucket = first day of month, F17)."""
     return df.groupBy(F.trunc(day, "MM").alias("month"), *(keys or [])).agg(
-        F.round(F.avg(value), digits).alias("mean"), F.count(value).alias("n"))
+        rnd(F.avg(value), digits).alias("mean"), F.count(value).alias("n"))
 
 
 def actual_pred_by(df: DataFrame, keys: list[str], actual: str = "actual",
                    pred: str = "pred", digits: int = 6) -> DataFrame:
     """Actual and predicted mean (and std) per key."""
-    r = lambda x: F.round(x, digits)
+    r = lambda x: rnd(x, digits)
     return df.groupBy(*keys).agg(
         F.count(actual).alias("n"),
         r(F.avg(actual)).alias("actual_mean"), r(F.stddev_samp(actual)).alias("actual_std"),
@@ -135,7 +136,7 @@ def percent_difference(df: DataFrame, keys: list[str], actual: str = "actual",
                        pred: str = "pred", digits: int = 6) -> DataFrame:
     """(mean pred - mean actual) / mean actual * 100 per key."""
     a, p = F.avg(actual), F.avg(pred)
-    return df.groupBy(*keys).agg(F.round((p - a) / a * 100, digits).alias("pct_diff"))
+    return df.groupBy(*keys).agg(rnd((p - a) / a * 100, digits).alias("pct_diff"))
 
 
 def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 6,
@@ -149,7 +150,7 @@ def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 6,
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                 F.round(F.col(f"c{i}"), digits).alias("corr"))
+                 rnd(F.col(f"c{i}"), digits).alias("corr"))
         for i, (a, b) in enumerate(pairs)]))
     return wide.select(rows.alias("r")).select("r.*")
 
@@ -160,7 +161,7 @@ def target_correlation(df: DataFrame, target: str, cols: list[str], digits: int
     wide = df.agg(*[F.corr(target, c).alias(f"c{i}") for i, c in enumerate(cols)])
     rows = F.explode(F.array(
         F.struct(F.lit(target).alias("column"), F.lit(1.0).alias("corr")),
-        *[F.struct(F.lit(c).alias("column"), F.round(F.col(f"c{i}"), digits).alias("corr"))
+        *[F.struct(F.lit(c).alias("column"), rnd(F.col(f"c{i}"), digits).alias("corr"))
           for i, c in enumerate(cols)]))
     out = wide.select(rows.alias("r")).select("r.*")
     return out.orderBy(F.when(F.col("column") == target, 0).otherwise(1),
@@ -178,7 +179,7 @@ def missing_summary(df: DataFrame, cols: list[str] | None = None, digits: int =
     return (wide.select("__n", rows.alias("r")).select("__n", "r.*")
             .where(F.col("missing") > 0)
             .select("column", "missing",
-                    F.round(F.col("missing") / F.col("__n") * 100, digits).alias("pct")))
+                    rnd(F.col("missing") / F.col("__n") * 100, digits).alias("pct")))
 
 
 def missing_by(df: DataFrame, keys: list[Column], cols: list[str]) -> DataFrame:
@@ -228,7 +229,7 @@ def box_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False,
     return j.groupBy(*keys, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
         F.count(F.when(~inside, 1)).alias("n_outliers")).select(
-        *keys, *[F.round(c, digits).alias(c) for c in ("q1", "median", "q3", "iqr")],
+        *keys, *[rnd(c, digits).alias(c) for c in ("q1", "median", "q3", "iqr")],
         "whisker_lo", "whisker_hi", "n_outliers").drop("__all")
 
 
@@ -252,8 +253,8 @@ def kde_grid(df: DataFrame, value: str, by: str, grid: int = 200, cut: float = 3
     e = j.select(by, "n", "bw", "g0", "step", value,
                  F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("k"))
     dens = e.groupBy(by, "k", "n", "bw", "g0", "step").agg(F.sum(F.exp(-0.5 * u * u)).alias("s"))
-    return dens.select(by, "k", F.round(x, digits).alias("x"),
-                       F.round(F.col("s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)),
+    return dens.select(by, "k", rnd(x, digits).alias("x"),
+                       rnd(F.col("s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi)),
                                digits).alias("density"))
 
 

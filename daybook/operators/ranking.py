@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from ..functions.numeric import rnd
 
 from .evaluate import adjusted_r2  # noqa: F401  (R6 lives with V10)
 
@@ -26,7 +27,7 @@ def f_scores(df: DataFrame, features: list[str], target: str, by: list[str] | No
     wide = df.groupBy(*(by or [])).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"),
-                 F.round(F.coalesce(_f_score(F.col(f"r{i}"), F.col(f"n{i}")), F.lit(0.0)),
+                 rnd(F.coalesce(_f_score(F.col(f"r{i}"), F.col(f"n{i}")), F.lit(0.0)),
                          digits).alias("f_score"))
         for i, c in enumerate(features)]))
     return wide.select(*(by or []), rows.alias("r")).select(*(by or []), "r.*")

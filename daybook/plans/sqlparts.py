@@ -24,7 +24,7 @@ DAILY = """daily AS (
          CAST(floor(n_high * 8 / n_orders) AS INTEGER) AS cloud,
          code
   FROM (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n_orders,
-               SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents,
+               SUM(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS cents,
                SUM(CASE WHEN TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) <= 2 THEN 1 ELSE 0 END) AS n_high,
                MIN(TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS code
         FROM orders GROUP BY 1) t)"""

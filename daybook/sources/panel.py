@@ -103,7 +103,7 @@ def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = priority_code(F.col("o_orderpriority"))
     g = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
+        F.sum(F.floor(F.col("o_totalprice") * 100 + 0.5).cast("long")).alias("cents"),
         F.sum(F.when(code <= 2, 1).otherwise(0)).alias("n_high"),
         F.min(code).alias("code"),
     )
