@@ -139,6 +139,16 @@ def percent_difference(df: DataFrame, keys: list[str], actual: str = "actual",
     return df.groupBy(*keys).agg(rnd((p - a) / a * 100, digits).alias("pct_diff"))
 
 
+def safe_corr(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both sides are present; null
+    when either side is constant (``corr`` raises a division error under
+    ANSI mode there)."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x = F.when(both, F.col(a).cast("double"))
+    y = F.when(both, F.col(b).cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 6,
                       upper: bool = True) -> DataFrame:
     """Every pair's Pearson correlation in one aggregate pass;
@@ -146,7 +156,7 @@ def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 6,
     full matrix including the diagonal (A18).  Nulls drop per pair."""
     pairs = (list(itertools.combinations(cols, 2)) if upper
              else list(itertools.product(cols, cols)))
-    aggs = [F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [safe_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     wide = df.agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
@@ -158,7 +168,7 @@ def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 6,
 def target_correlation(df: DataFrame, target: str, cols: list[str], digits: int = 6) -> DataFrame:
     """Correlation of each column to ``target`` (one aggregate pass),
     ordered by absolute value with the target itself first."""
-    wide = df.agg(*[F.corr(target, c).alias(f"c{i}") for i, c in enumerate(cols)])
+    wide = df.agg(*[safe_corr(target, c).alias(f"c{i}") for i, c in enumerate(cols)])
     rows = F.explode(F.array(
         F.struct(F.lit(target).alias("column"), F.lit(1.0).alias("corr")),
         *[F.struct(F.lit(c).alias("column"), rnd(F.col(f"c{i}"), digits).alias("corr"))

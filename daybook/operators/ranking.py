@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import rnd
 
 from .evaluate import adjusted_r2  # noqa: F401  (R6 lives with V10)
+from .profile import safe_corr
 
 
 def _f_score(r: Column, n: Column) -> Column:
@@ -23,7 +24,7 @@ def f_scores(df: DataFrame, features: list[str], target: str, by: list[str] | No
     aggs = []
     for i, c in enumerate(features):
         both = F.col(c).isNotNull() & F.col(target).isNotNull()
-        aggs += [F.corr(c, target).alias(f"r{i}"), F.count(F.when(both, 1)).alias(f"n{i}")]
+        aggs += [safe_corr(c, target).alias(f"r{i}"), F.count(F.when(both, 1)).alias(f"n{i}")]
     wide = df.groupBy(*(by or [])).agg(*aggs)
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"),

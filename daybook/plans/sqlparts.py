@@ -58,3 +58,11 @@ def metrics(actual: str = "actual", pred: str = "pred", digits: int = 6) -> str:
             f"ROUND(1.0 - SUM({e} * {e}) / (SUM({actual} * {actual}) - SUM({actual}) * SUM({actual}) / COUNT({actual})), {digits}) AS r2, "
             f"ROUND(AVG(CASE WHEN {actual} <> 0 THEN ABS({e}) / ABS({actual}) END) * 100, {digits}) AS mape, "
             f"COUNT(CASE WHEN {actual} <> 0 THEN 1 END) AS mape_n")
+
+
+def corr(a: str, b: str) -> str:
+    """Pairwise-complete Pearson correlation, null for a constant side
+    (same formula as ``profile.safe_corr``)."""
+    xa = f"CASE WHEN {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
+    xb = f"CASE WHEN {a} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
+    return (f"(covar_pop({xa}, {xb}) / NULLIF(stddev_pop({xa}) * stddev_pop({xb}), 0))")
