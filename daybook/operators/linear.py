@@ -160,7 +160,7 @@ def mask_names(features: list[str]) -> Column:
 def prefix_masks(spark: SparkSession, k: int) -> DataFrame:
     """Masks of the first 1..k ranked features."""
     return spark.range(1, k + 1).select(
-        (F.shiftleft(F.lit(1).cast("long"), F.col("id").cast("int")) - 1).alias("mask"))
+        F.expr("shiftleft(CAST(1 AS BIGINT), CAST(id AS INT)) - 1").alias("mask"))
 
 
 def all_masks(spark: SparkSession, k: int, max_size: int | None = None) -> DataFrame:

@@ -46,9 +46,10 @@ def boosted(label: str, validation_col: str | None = None, seed: int = 42,
             max_iter: int = 100) -> GBTRegressor:
     """Non-linear pooled regressor with validation-based early stop
     (what the reference's neural models deliver, re-aimed to MLlib)."""
-    g = GBTRegressor(labelCol=label, maxIter=max_iter, maxDepth=5, stepSize=0.1, seed=seed)
+    g = GBTRegressor(labelCol=label, maxIter=max_iter, maxDepth=5, stepSize=0.1, seed=seed,
+                     validationTol=0.01)
     if validation_col:
-        g = g.setValidationIndicatorCol(validation_col).setValidationTol(0.01)
+        g = g.setValidationIndicatorCol(validation_col)
     return g
 
 

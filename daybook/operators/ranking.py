@@ -13,7 +13,7 @@ from .profile import safe_corr
 
 def _f_score(r: Column, n: Column) -> Column:
     r2 = r * r
-    return r2 / (F.lit(1.0) - r2) * (n - 2)
+    return F.try_divide(r2, F.lit(1.0) - r2) * (n - 2)
 
 
 def f_scores(df: DataFrame, features: list[str], target: str, by: list[str] | None = None,

@@ -35,3 +35,203 @@ scored AS (SELECT p.grp, p.units AS actual, m.pred FROM panel p
            WHERE p.{S.VALID})
 SELECT grp, {S.metrics()} FROM scored GROUP BY grp
 """)(weekday_mean_eval)
+
+
+# ---------------------------------------------------------------- more forecasters
+
+from ..functions.numeric import rnd  # noqa: E402
+from ..functions import nulls as NU  # noqa: E402
+from ..operators import harmonics as HM  # noqa: E402
+from ..operators import linear as LN  # noqa: E402
+from ..operators import mlmodels as ML  # noqa: E402
+from ..sources import panel as P  # noqa: E402
+from . import common as Q  # noqa: E402
+
+
+def fixed_linear_eval(spark, sf_dir):
+    """M2 + V1: the hand-set linear scorer on the validation year, overall
+    metrics."""
+    _, _, valid = _train_valid(spark, sf_dir)
+    s = valid.select(F.col("units").alias("actual"),
+                     fc.fixed_linear_score(F.col("day"), F.col("grp")).alias("pred"))
+    return ev.error_metrics(s, "actual", "pred")
+
+
+query("m02_fixed_linear_eval", f"""
+WITH {S.PANEL},
+s AS (SELECT units AS actual,
+        85.08 + 23.87 * CAST(isodow(day) >= 6 AS DOUBLE) + 69.39 * CAST(month(day) IN (7, 8, 9) AS DOUBLE)
+        + CASE WHEN grp = 2 THEN 306.89 WHEN grp = 3 THEN 60.44 WHEN grp = 5 THEN 177.19 ELSE 0.0 END AS pred
+      FROM panel WHERE {S.VALID})
+SELECT {S.metrics()} FROM s
+""")(fixed_linear_eval)
+
+
+def group_weekday_ols(spark, sf_dir):
+    """M8: OLS on one-hot weekday for one group equals that group's weekday
+    means; fitted on group 1's train rows, scored on its validation rows,
+    metrics."""
+    _, train, valid = _train_valid(spark, sf_dir)
+    scored = fc.weekday_mean_forecast(train.where(F.col("grp") == 1),
+                                      valid.where(F.col("grp") == 1).withColumnRenamed("units", "actual"))
+    return ev.error_metrics(scored, "actual", "pred", by=["grp"])
+
+
+query("m08_group_weekday_ols", f"""
+WITH {S.PANEL},
+model AS (SELECT {S.wd('day')} AS weekday, AVG(units) AS pred FROM panel WHERE {S.TRAIN} AND grp = 1 GROUP BY 1),
+scored AS (SELECT p.grp, p.units AS actual, m.pred FROM panel p JOIN model m ON {S.wd('p.day')} = m.weekday
+           WHERE p.{S.VALID} AND p.grp = 1)
+SELECT grp, {S.metrics()} FROM scored GROUP BY grp
+""")(group_weekday_ols)
+
+
+def _features_frame(spark, sf_dir):
+    """Model matrix shared by the fitted forecasters (M18: one function for
+    train, validation and future rows)."""
+    e = Q.enriched(spark, sf_dir)
+    train = e.where(F.col("day") <= TRAIN_END)
+    e = NU.mean_impute(e, ["temp", "wind", "cloud"], fit_on=train)
+    return e.select(
+        "day", "grp", "units", "temp", "wind", "cloud",
+        F.weekday("day").alias("weekday"),
+        (F.weekday("day") >= 5).cast("int").alias("weekend"),
+        F.col("is_holiday").cast("int").alias("holiday"),
+        F.col("is_festival").cast("int").alias("festival"),
+        F.month("day").isin(6, 7, 8).cast("int").alias("summer"),
+        *[(F.weekday("day") == d).cast("int").alias(f"wd{d}") for d in range(1, 7)],
+        *[(F.col("grp") == g).cast("int").alias(f"g{g}") for g in list(P.GROUP_LABELS)[1:]],
+        P.split_label(F.col("day")).alias("split"))
+
+
+NUMERIC = ["temp", "wind", "cloud"]
+BINARY = ["weekend", "holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)] + \
+    [f"g{g}" for g in list(P.GROUP_LABELS)[1:]]
+
+
+def pooled_ols(spark, sf_dir):
+    """M3-M6 + F43 + V2: MLlib pipeline (scaled numeric, one-hot, OLS by
+    normal equations) fitted on train, metrics per split and group."""
+    x = _features_frame(spark, sf_dir)
+    pipe = ML.feature_pipeline(NUMERIC, BINARY, "units", ML.ols("units"))
+    _, out = ML.fit_score(pipe, x.where(F.col("split") == "train"),
+                          x.where(F.col("split").isin("train", "validation")))
+    return ev.error_metrics(out.withColumnRenamed("units", "actual"), "actual", "pred",
+                            by=["split", "grp"])
+
+
+query("m03_pooled_ols")(pooled_ols)
+
+
+def per_group_ols(spark, sf_dir):
+    """M7 + M16: one OLS per group on shared features (Gram per group,
+    solved in applyInPandas; small groups fall back to their mean), scored
+    on validation, metrics per group."""
+    x = _features_frame(spark, sf_dir)
+    feats = NUMERIC + ["weekend", "holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)]
+    models = LN.fit_per_group(x.where(F.col("split") == "train"), feats, "units", "grp")
+    s = LN.score_per_group(x.where(F.col("split") == "validation"), models, feats, "grp")
+    return ev.error_metrics(s.withColumnRenamed("units", "actual"), "actual", "pred", by=["grp"])
+
+
+query("m07_per_group_ols")(per_group_ols)
+
+
+def _spectrum(spark, sf_dir):
+    panel = panel_table(spark, sf_dir)
+    train = panel.where(F.col("day") <= TRAIN_END)
+    spec = HM.spectrum(train, value="units")
+    return panel, train, spec
+
+
+def spectrum_top(spark, sf_dir):
+    """M9 + M10 + W8: DFT of each group's train series, the four largest
+    one-sided harmonics."""
+    _, _, spec = _spectrum(spark, sf_dir)
+    top = HM.dominant(spec, 4)
+    return top.select("grp", "rank", "k", "n", rnd("freq", 9).alias("freq"), rnd("amp", 3).alias("amp"))
+
+
+query("m09_spectrum_top", f"""
+WITH {S.PANEL},
+s AS (SELECT grp, units AS y, CAST(row_number() OVER (PARTITION BY grp ORDER BY day) - 1 AS BIGINT) AS t,
+             COUNT(*) OVER (PARTITION BY grp) AS n FROM panel WHERE {S.TRAIN}),
+ks AS (SELECT DISTINCT grp, n, unnest(range(1, CAST(floor(n / 2) AS BIGINT) + 1)) AS k FROM s),
+dft AS (SELECT ks.grp, ks.k, ks.n,
+               SUM(s.y * cos(2 * pi() * ks.k * s.t / ks.n)) AS re,
+               -SUM(s.y * sin(2 * pi() * ks.k * s.t / ks.n)) AS im
+        FROM ks JOIN s ON ks.grp = s.grp GROUP BY ks.grp, ks.k, ks.n),
+r AS (SELECT grp, k, n, sqrt(re * re + im * im) AS amp,
+             row_number() OVER (PARTITION BY grp ORDER BY sqrt(re * re + im * im) DESC, k DESC) AS rank FROM dft)
+SELECT grp, CAST(rank AS INTEGER) AS rank, k, n, ROUND(CAST(k AS DOUBLE) / n, 9) AS freq, ROUND(amp, 3) AS amp
+FROM r WHERE rank <= 4
+""")(spectrum_top)
+
+
+def harmonic_forecast(spark, sf_dir):
+    """M11 + N14 + V2 + V8: mean + 4 harmonics of each group's train series,
+    continued over the validation rows (t keeps counting, D7), clipped at
+    0; MAE / RMSE per group and the mean of the group MAEs."""
+    panel, train, spec = _spectrum(spark, sf_dir)
+    top = HM.dominant(spec, 4)
+    valid = panel.where(F.col("day").between(VALID_START, VALID_END))
+    rows = HM.continue_index(train, valid)
+    pred = HM.reconstruct(rows, spec, top).withColumn("pred", NU.clip_min("pred"))
+    pred = pred.withColumnRenamed("units", "actual")
+    per = ev.error_metrics(pred, "actual", "pred", by=["grp"], digits=3)
+    mean = ev.mean_group_mae(pred).select(rnd("mean_group_mae", 3)).scalar()
+    return per.withColumn("mean_group_mae", mean)
+
+
+query("m11_harmonic_forecast")(harmonic_forecast)
+
+
+def harmonic_features(spark, sf_dir):
+    """Harmonic feature columns from train-only harmonics, for train
+    and validation rows."""
+    panel, train, spec = _spectrum(spark, sf_dir)
+    top = HM.dominant(spec, 4)
+    rows = panel.where(F.col("day") <= VALID_END)
+    t = HM.continue_index(train, rows.where(F.col("day") > TRAIN_END))
+    tr = train.withColumn("t", HM.time_index("grp", "day"))
+    out = HM.harmonic_features(tr.unionByName(t), top)
+    return out.select("day", "grp", "t", *[rnd(f"harm_{r}", 6).alias(f"harm_{r}") for r in range(1, 5)])
+
+
+query("m13_harmonic_features")(harmonic_features)
+
+
+def random_forest(spark, sf_dir):
+    """M14 + R8: random forest (300 trees, depth 8, min 5 rows per leaf) on
+    calendar, measure and harmonic-free features; validation metrics per
+    group."""
+    x = _features_frame(spark, sf_dir)
+    pipe = ML.feature_pipeline(NUMERIC, BINARY, "units", ML.random_forest("units"), scale=False)
+    _, out = ML.fit_score(pipe, x.where(F.col("split") == "train"),
+                          x.where(F.col("split") == "validation"))
+    return ev.error_metrics(out.withColumnRenamed("units", "actual"), "actual", "pred", by=["grp"],
+                            digits=3)
+
+
+query("m14_random_forest")(random_forest)
+
+
+def boosted_submission(spark, sf_dir):
+    """M15 + M17 + S9 + S14: boosted trees with a validation indicator for
+    early stopping, then batch scoring of the test period: packed ids are
+    parsed back to (day, group), enriched with the same feature code,
+    scored, clipped at 0, keyed by id."""
+    x = _features_frame(spark, sf_dir)
+    fit_rows = x.where(F.col("split").isin("train", "validation")).withColumn(
+        "is_val", F.col("split") == "validation")
+    pipe = ML.feature_pipeline(NUMERIC, BINARY, "units", ML.boosted("units", "is_val", max_iter=60),
+                               scale=False)
+    model = pipe.fit(fit_rows)
+    ids = x.where(F.col("split") == "test").select(P.packed_id(F.col("day"), F.col("grp")).alias("id"))
+    keys = ids.select("id", P.id_day(F.col("id")).alias("day"), P.id_group(F.col("id")).alias("grp"))
+    rows = keys.join(x, ["day", "grp"], "left")
+    out = model.transform(rows).withColumn("pred", NU.clip_min("pred"))
+    return out.select("id", "day", "grp", rnd("pred", 3).alias("pred"))
+
+
+query("m15_boosted_submission")(boosted_submission)

@@ -124,6 +124,26 @@ def code_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
+def packed_id(day: Column, grp: Column) -> Column:
+    """``yyMMdd`` followed by the group digit, e.g. 2018-08-01 group 1
+    -> 1808011."""
+    return F.date_format(day, "yyMMdd").cast("long") * 10 + grp.cast("long")
+
+
+def id_day(id_: Column) -> Column:
+    """Day of a packed id; two-digit years follow the POSIX ``%y`` rule
+    (69-99 -> 19xx, 00-68 -> 20xx)."""
+    s = F.lpad(id_.cast("string"), 7, "0")
+    yy = F.substring(s, 1, 2).cast("int")
+    year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)
+    return F.make_date(year, F.substring(s, 3, 2).cast("int"), F.substring(s, 5, 2).cast("int"))
+
+
+def id_group(id_: Column) -> Column:
+    """Group digit of a packed id."""
+    return (id_ % 10).cast("int")
+
+
 def split_label(day: Column) -> Column:
     """Split name of a day by the SPLITS table."""
     expr = None
