@@ -48,40 +48,38 @@ def year_table(spark: SparkSession, first, last, col: str = "year") -> DataFrame
 
 
 def years_of(df: DataFrame, day_col: str = "day", col: str = "year") -> DataFrame:
-    """Years spanned by ``df[day_col]``; min and max come in as scalar
-    subqueries, so nothing passes through the driver."""
-    lo = df.select(F.min(F.year(day_col))).scalar()
-    hi = df.select(F.max(F.year(day_col))).scalar()
-    return year_table(df.sparkSession, lo, hi, col)
-
-
-def easter_sunday(year: str | Column) -> Column:
-    """Easter Sunday of ``year`` (Gregorian), as a DATE column."""
-    y = F.col(year) if isinstance(year, str) else year
-    a = y % 19
-    b = F.floor(y / 100).cast("int")
-    c = y % 100
-    d = F.floor(b / 4).cast("int")
-    e = b % 4
-    f = F.floor((b + 8) / 25).cast("int")
-    g = F.floor((b - f + 1) / 3).cast("int")
-    h = (19 * a + b - d - g + 15) % 30
-    i = F.floor(c / 4).cast("int")
-    k = c % 4
-    l_ = (32 + 2 * e + 2 * i - h - k) % 7
-    m = F.floor((a + 11 * h + 22 * l_) / 451).cast("int")
-    t = h + l_ - 7 * m + 114
-    return F.make_date(y.cast("int"), F.floor(t / 31).cast("int"), (t % 31 + 1).cast("int"))
+    """Years spanned by ``df[day_col]``: one global aggregate (partial per
+    task, one row out) expanded by a generator; nothing passes through the
+    driver."""
+    b = df.agg(F.min(F.year(day_col)).alias("lo"), F.max(F.year(day_col)).alias("hi"))
+    return b.select(F.explode(F.sequence("lo", "hi")).alias(col))
+
+
+def spine_of(df: DataFrame, day_col: str = "day", col: str = "day") -> DataFrame:
+    """C1 over the first..last day of ``df`` (one aggregate + generator)."""
+    b = df.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))
+    return b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias(col))
+
+
+# Anonymous Gregorian computus, one integer step per column.  Staged
+# projections keep every intermediate computed once (a single nested
+# expression would repeat the shared terms at every level).
+_COMPUTUS = [
+    ("_a", "year % 19"), ("_b", "year div 100"), ("_c", "year % 100"),
+    ("_d", "_b div 4"), ("_e", "_b % 4"), ("_f", "(_b + 8) div 25"),
+    ("_g", "(_b - _f + 1) div 3"), ("_h", "(19 * _a + _b - _d - _g + 15) % 30"),
+    ("_i", "_c div 4"), ("_k", "_c % 4"), ("_l", "(32 + 2 * _e + 2 * _i - _h - _k) % 7"),
+    ("_m", "(_a + 11 * _h + 22 * _l) div 451"), ("_t", "_h + _l - 7 * _m + 114"),
+]
 
 
 def easter_table(years: DataFrame, year_col: str = "year") -> DataFrame:
     """C2 + C4: Easter Sunday and Easter Saturday per year."""
-    e = easter_sunday(year_col)
-    return years.select(
-        F.col(year_col).cast("int").alias("year"),
-        e.alias("easter_sunday"),
-        F.date_sub(e, 1).alias("easter_saturday"),
-    )
+    df = years.select(F.col(year_col).cast("int").alias("year"))
+    for name, expr in _COMPUTUS:
+        df = df.withColumn(name, F.expr(expr))
+    e = F.make_date("year", F.expr("CAST(_t div 31 AS INT)"), F.expr("CAST(_t % 31 + 1 AS INT)"))
+    return df.select("year", e.alias("easter_sunday"), F.date_sub(e, 1).alias("easter_saturday"))
 
 
 def national_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
@@ -89,10 +87,11 @@ def national_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
 
     Output ``(day, year)``, one row per distinct holiday date.
     """
-    y = F.col(year_col).cast("int")
+    e = easter_table(years, year_col)
+    y = F.col("year")
     fixed = [F.make_date(y, F.lit(m), F.lit(d)) for m, d in FIXED_HOLIDAYS]
-    moving = [F.date_add(easter_sunday(y), off) for off in EASTER_OFFSETS]
-    return (years.select(y.alias("year"), F.explode(F.array(*fixed, *moving)).alias("day"))
+    moving = [F.date_add("easter_sunday", off) for off in EASTER_OFFSETS]
+    return (e.select("year", F.explode(F.array(*fixed, *moving)).alias("day"))
             .select("day", "year").dropDuplicates(["day"]))
 
 

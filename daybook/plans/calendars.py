@@ -21,7 +21,9 @@ def calendar_spine(spark, sf_dir):
     """C1, C3, C5, C6, C7, C9, C15 over the panel's day range."""
     panel = P.panel_table(spark, sf_dir)
     hi = panel.select(F.max("day")).scalar()
-    cal = C.holiday_calendar(Q.spine(spark, panel), Q.holidays(panel))
+    cal = Q.with_day_flags(Q.spine(spark, panel), Q.day_flags(panel))
+    cal = cal.withColumn("weekday", F.weekday("day")).withColumn(
+        "is_workday", C.workday(F.col("day"), F.col("is_holiday")))
     return cal.select(
         "day", "weekday", "is_holiday", "is_workday",
         C.bridge_day_strict(cal).alias("bridge_strict"),
@@ -72,8 +74,8 @@ SELECT day, year FROM holidays
 def paydays(spark, sf_dir):
     """Last working day, 15th and 25th rolled back, per month."""
     panel = P.panel_table(spark, sf_dir)
-    cal = C.holiday_calendar(Q.spine(spark, panel), Q.holidays(panel))
-    return C.paydays(cal)
+    cal = Q.with_day_flags(Q.spine(spark, panel), Q.day_flags(panel))
+    return C.paydays(cal.withColumn("is_workday", C.workday(F.col("day"), F.col("is_holiday"))))
 
 
 query("c08_paydays", f"""{CAL},

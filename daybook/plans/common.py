@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..operators import calendar as C
 from ..operators import enrich as J
+from ..session import materialize
+from ..sizing import checked_broadcast
 from ..sources import panel as P
 
 # ---------------------------------------------------------------- Spark side
@@ -23,9 +25,7 @@ def holidays(panel: DataFrame) -> DataFrame:
 
 
 def spine(spark: SparkSession, panel: DataFrame) -> DataFrame:
-    lo = panel.select(F.min("day")).scalar()
-    hi = panel.select(F.max("day")).scalar()
-    return C.day_spine(spark, lo, hi)
+    return C.spine_of(panel)
 
 
 def festival(panel: DataFrame) -> DataFrame:
@@ -40,6 +40,47 @@ def easter_saturdays(panel: DataFrame) -> DataFrame:
     return C.easter_table(years(panel)).select(F.col("easter_saturday").alias("day"))
 
 
+EVENT_FLAGS = ["is_holiday", "prev_holiday", "next_holiday", "is_festival", "is_parade",
+               "before_parade", "after_parade", "is_easter_saturday"]
+
+
+def day_flags(panel: DataFrame) -> DataFrame:
+    """All event flags of the panel's days in one table keyed by day.
+
+    Every event set (holidays, festival, parade, Easter Saturday and the
+    +-1 day shifts, J7/J8) is tagged, unioned and pivoted once over a fixed
+    tag list, so the panel needs one join instead of one per flag.  The
+    table has at most one row per calendar day of the panel's years; it is
+    checkpointed, which also runs the calendar arithmetic only once.
+    """
+    hol, par = holidays(panel).select("day"), parade(panel)
+    tagged = [
+        hol.select("day", F.lit("is_holiday").alias("tag")),
+        hol.select(F.date_add("day", 1).alias("day"), F.lit("prev_holiday").alias("tag")),
+        hol.select(F.date_sub("day", 1).alias("day"), F.lit("next_holiday").alias("tag")),
+        festival(panel).select("day", F.lit("is_festival").alias("tag")),
+        par.select("day", F.lit("is_parade").alias("tag")),
+        par.select(F.date_sub("day", 1).alias("day"), F.lit("before_parade").alias("tag")),
+        par.select(F.date_add("day", 1).alias("day"), F.lit("after_parade").alias("tag")),
+        easter_saturdays(panel).select("day", F.lit("is_easter_saturday").alias("tag")),
+    ]
+    u = tagged[0]
+    for t in tagged[1:]:
+        u = u.unionByName(t)
+    wide = u.groupBy("day").pivot("tag", EVENT_FLAGS).agg(F.lit(True))
+    return materialize(wide.select("day", *[F.coalesce(F.col(c), F.lit(False)).alias(c)
+                                            for c in EVENT_FLAGS]))
+
+
+def with_day_flags(df: DataFrame, flags: DataFrame, day: str = "day") -> DataFrame:
+    """Left join of the day flags (size-checked broadcast); days without an
+    event get false everywhere."""
+    out = df.join(checked_broadcast(flags), day, "left")
+    for c in EVENT_FLAGS:
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(False)))
+    return out
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel + daily measures (J1) + code text (J2) + event flags."""
     panel = P.panel_table(spark, sf_dir)
@@ -48,12 +89,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = J.left_enrich(panel, [(daily.select("day", "n_orders", "temp", "wind", "cloud", "code"),
                                  ["day"])])
     out = J.lookup(out, codes, "code", "prio_code", ["description"])
-    out = C.flag_days(out, holidays(panel), "is_holiday")
-    out = C.flag_days(out, festival(panel), "is_festival")
-    out = C.flag_days(out, parade(panel), "is_parade")
-    out = C.flag_days(out, parade(panel), "before_parade", shift=1)
-    out = C.flag_days(out, parade(panel), "after_parade", shift=-1)
-    out = C.flag_days(out, easter_saturdays(panel), "is_easter_saturday")
+    out = with_day_flags(out, day_flags(panel))
     return out.withColumn("is_nye", D.is_new_years_eve("day"))
 
 

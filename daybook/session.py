@@ -75,4 +75,7 @@ def materialize(df: DataFrame) -> DataFrame:
     instead of recomputing the whole plan.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()          # the eager checkpoint runs two jobs over
+    out = cached.checkpoint(eager=True)  # the plan; the cache serves the 2nd
+    cached.unpersist()
+    return out
