@@ -72,7 +72,9 @@ def _word_date(text: Column, fallback_year: Column | None) -> Column:
     mon = F.try_element_at(months, name)
     y = F.regexp_extract(text, r"(\d{4})$", 1)
     year = F.when(y != "", y.cast("int")).otherwise(fallback_year)
-    return F.when(m != "", F.try_make_date(year, mon, d))
+    iso = F.format_string("%04d-%02d-%02d", year, mon, d)
+    return F.when((m != "") & mon.isNotNull() & year.isNotNull(),
+                  F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"))
 
 
 def read_sectioned_markdown(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
