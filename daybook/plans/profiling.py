@@ -533,3 +533,94 @@ query("u01_error_union", f"""WITH {S.PANEL},
 SELECT split, day, grp, actual, ROUND(pred, 6) AS pred, ROUND(actual - pred, 6) AS error FROM scored
 WHERE split IN ('train', 'validation')
 """)(error_union)
+
+
+# ---------------------------------------------------------------- actual vs predicted
+
+from ..functions import dates as DT  # noqa: E402
+from ..functions import columns as CO  # noqa: E402
+
+
+def season_actual_pred(spark, sf_dir):
+    """A10: actual and predicted mean / std per (season, group label) on
+    validation."""
+    s = scored(spark, sf_dir).where(F.col("split") == "validation")
+    s = s.withColumn("season", DT.season_meteo("day")).withColumn("label", P.group_label(F.col("grp")))
+    return PR.actual_pred_by(s, ["season", "label"])
+
+
+def _actual_pred_sql(keys, where, extra=""):
+    return f"""WITH {S.PANEL},
+{SCORED},
+x AS (SELECT *, {extra} 1 AS one FROM scored WHERE {where})
+SELECT {keys}, COUNT(actual) AS n, ROUND(AVG(actual), 6) AS actual_mean, ROUND(stddev_samp(actual), 6) AS actual_std,
+       ROUND(AVG(pred), 6) AS pred_mean, ROUND(stddev_samp(pred), 6) AS pred_std
+FROM x GROUP BY {keys}"""
+
+
+_SEASON = ("CASE WHEN month(day) IN (12, 1, 2) THEN 'winter' WHEN month(day) IN (3, 4, 5) THEN 'spring' "
+           "WHEN month(day) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END")
+_LABEL = S.LABEL_CASE
+query("a10_season_actual_pred", _actual_pred_sql(
+    "season, label", "split = 'validation'", f"{_SEASON} AS season, {_LABEL} AS label,"))(
+    season_actual_pred)
+
+
+def month_position_actual_pred(spark, sf_dir):
+    """Actual and predicted per (month third, group) on validation."""
+    s = scored(spark, sf_dir).where(F.col("split") == "validation").withColumn(
+        "month_third", DT.month_third("day"))
+    return PR.actual_pred_by(s, ["month_third", "grp"])
+
+
+_THIRD = "CASE WHEN day(day) <= 10 THEN 'start' WHEN day(day) <= 20 THEN 'middle' ELSE 'end' END"
+query("a11_month_position_actual_pred", _actual_pred_sql(
+    "month_third, grp", "split = 'validation'", f"{_THIRD} AS month_third,"))(month_position_actual_pred)
+
+
+def weekday_split_actual_pred(spark, sf_dir):
+    """Actual and predicted per (group, weekday, split)."""
+    return PR.actual_pred_by(scored(spark, sf_dir), ["grp", "weekday", "split"])
+
+
+query("a12_weekday_split_actual_pred", _actual_pred_sql("grp, weekday, split", "TRUE"))(
+    weekday_split_actual_pred)
+
+
+REQUIRED = ["day", "grp", "actual", "pred", "temp"]
+
+
+def integrity_profile(spark, sf_dir):
+    """A33 + U3: schema diff (missing required columns) and one summary row
+    (rows, date range, negative predictions) of the scored frame."""
+    s = scored(spark, sf_dir)
+    prof = PR.integrity_profile(s, REQUIRED, pred="pred")
+    diff = CO.column_difference(REQUIRED, s)
+    return prof["summary"].select("*", F.lit(",".join(prof["missing_columns"])).alias("missing_columns"),
+                                  F.lit(",".join(diff["extra"])).alias("extra_columns"))
+
+
+query("a33_integrity_profile", f"""WITH {S.PANEL},
+{SCORED}
+SELECT COUNT(*) AS rows, MIN(day) AS first_day, MAX(day) AS last_day,
+       COUNT(CASE WHEN pred < 0 THEN 1 END) AS negative_predictions,
+       'temp' AS missing_columns, 'split,weekday' AS extra_columns FROM scored
+""")(integrity_profile)
+
+
+def column_selection(spark, sf_dir):
+    """N16 + N17 + N19: numeric columns chosen by schema type, columns by
+    prefix / substring, rounded to 2 decimals."""
+    e = Q.enriched(spark, sf_dir)
+    numeric = CO.numeric_columns(e, exclude=("grp", "code"))
+    flags = CO.columns_like(e, prefix="is_") + CO.columns_like(e, contains="_parade")
+    out = e.select("day", "grp", *numeric, *dict.fromkeys(flags))
+    return CO.round_columns(out, numeric, 2)
+
+
+query("n16_column_selection", f"""{BASE}
+SELECT day, grp, ROUND(units, 2) AS units, ROUND(lines, 2) AS lines, ROUND(n_orders, 2) AS n_orders,
+       ROUND(temp, 2) AS temp, ROUND(wind, 2) AS wind, ROUND(cloud, 2) AS cloud,
+       is_holiday, is_festival, is_parade, is_easter_saturday, is_nye, before_parade, after_parade
+FROM enriched
+""")(column_selection)
