@@ -53,21 +53,18 @@ def day_flags(panel: DataFrame) -> DataFrame:
     table has at most one row per calendar day of the panel's years; it is
     checkpointed, which also runs the calendar arithmetic only once.
     """
-    hol, par = holidays(panel).select("day"), parade(panel)
-    tagged = [
-        hol.select("day", F.lit("is_holiday").alias("tag")),
-        hol.select(F.date_add("day", 1).alias("day"), F.lit("prev_holiday").alias("tag")),
-        hol.select(F.date_sub("day", 1).alias("day"), F.lit("next_holiday").alias("tag")),
-        festival(panel).select("day", F.lit("is_festival").alias("tag")),
-        par.select("day", F.lit("is_parade").alias("tag")),
-        par.select(F.date_sub("day", 1).alias("day"), F.lit("before_parade").alias("tag")),
-        par.select(F.date_add("day", 1).alias("day"), F.lit("after_parade").alias("tag")),
-        easter_saturdays(panel).select("day", F.lit("is_easter_saturday").alias("tag")),
-    ]
-    u = tagged[0]
-    for t in tagged[1:]:
-        u = u.unionByName(t)
-    wide = u.groupBy("day").pivot("tag", EVENT_FLAGS).agg(F.lit(True))
+    def tags(df: DataFrame, shifts: list[tuple[int, str]]) -> DataFrame:
+        # one pass over the event set emits every shifted tag
+        arr = F.array(*[F.struct(F.date_add("day", k).alias("day"), F.lit(t).alias("tag"))
+                        for k, t in shifts])
+        return df.select(F.explode(arr).alias("e")).select("e.day", "e.tag")
+
+    u = (tags(holidays(panel), [(0, "is_holiday"), (1, "prev_holiday"), (-1, "next_holiday")])
+         .unionByName(tags(festival(panel), [(0, "is_festival")]))
+         .unionByName(tags(parade(panel), [(0, "is_parade"), (-1, "before_parade"),
+                                           (1, "after_parade")]))
+         .unionByName(tags(easter_saturdays(panel), [(0, "is_easter_saturday")])))
+    wide = u.groupBy("day").pivot("tag", EVENT_FLAGS).agg(F.max(F.lit(True)))
     return materialize(wide.select("day", *[F.coalesce(F.col(c), F.lit(False)).alias(c)
                                             for c in EVENT_FLAGS]))
 
