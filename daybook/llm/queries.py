@@ -3,9 +3,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing
+from . import bpe, exact, mixing, prefix_count
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -16,6 +17,13 @@ def query(fn):
     return fn
 
 
+@query
+def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and their bytes decoded again."""
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+
+
 @query
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of ``documents``: keeper, group size and digest per row."""
@@ -33,6 +41,12 @@ FROM n WINDOW w AS (PARTITION BY norm ORDER BY len DESC, doc_id NULLS LAST)
 """
 
 
+@query
+def op7_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, and how much of it fits in 2,048 tokens."""
+    return prefix_count.count_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 @query
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document when the sources are mixed 5 : 2 : 1."""
