@@ -5,10 +5,12 @@ Texts are compared after deleting ASCII white space.  Sampled splitters
 sorted externally, equal texts then stand side by side, and the window operator
 compares each whole text with its neighbour to find where a group ends.
 
-A text with very many copies would fill one range.  The sort key therefore
-holds a salt after the text: a group's copies form up to ``salts`` runs in
-adjacent ranges, each run elects its keeper and its count, and a second, slim
-pass over one row per run (text digest, keeper, count) settles the group.
+Splitters are sampled in the driver, so they hold only the first ``HEAD`` code
+points of a text; inside a range the whole text is the sort key.  A text (or a
+head) with very many copies would fill one range.  The splitters therefore hold
+a salt after the head: a group's copies form up to ``salts`` runs, each run
+elects its keeper and its count, and a second, slim pass over one row per run
+(text digest, keeper, count) settles the group.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import SPACE_CLASS, staged, text_of
 
 SALTS = 256
+HEAD = 64
 
 
 def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -36,9 +39,9 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.length(text_of(text_col)).alias("_len"),
         F.pmod(F.xxhash64(F.col(id_col), F.length(text_of(text_col))), F.lit(salts)).cast("int").alias("_salt"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, "_norm", "_salt")
+    ranged = rows.withColumn("_head", F.substring("_norm", 1, HEAD)).repartitionByRange(parts, "_head", "_salt")
     order = [F.desc("_len"), F.asc_nulls_last("_id")]
-    run = Window.partitionBy("_norm", "_salt")
+    run = Window.partitionBy("_head", "_salt", "_norm")
     runs = staged(ranged.select(
         "_id", "_salt", "_len", F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256"),
         F.row_number().over(run.orderBy(*order)).alias("_at"),
