@@ -85,3 +85,39 @@ def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
     doc = pc.list_parent_indices(lists).to_numpy(False).astype(np.int64)
     coded = words.dictionary_encode()
     return doc, coded.indices.to_numpy(False).astype(np.int64), coded.dictionary.to_pylist()
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, most: tuple[int, int],
+                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
+    """(id, text, label) of a sample of the labelled rows outside the held-out
+    fold, about ``most[y]`` rows of label y, and the number of labelled rows per
+    label.
+
+    The sample is drawn by id hash, so it is the same in every run, and its
+    size, which does not grow with the tables, bounds the broadcast side of the
+    join.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (crc_fold(id_col, folds) != held))
+    counts = {int(r[0]): int(r[1]) for r in known.groupBy(label).count().collect()}
+    share = F.when(F.col(label) == 1, F.lit(most[1] / max(1, counts.get(1, 0)))).otherwise(F.lit(most[0] / max(1, counts.get(0, 0))))
+    drawn = known.filter(unit_hash(F.concat(F.lit(label), F.col(id_col).cast("string"))) < share).select(
+        F.col(id_col).alias("_id"), F.col(label).cast("int").alias("label"))
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    return rows.join(F.broadcast(drawn), F.col("id") == F.col("_id")).drop("_id"), counts
+
+
+def scored(docs: DataFrame, score, fields: dict[str, str], id_col: str, text_col: str,
+           max_bytes: int = 16 << 20) -> DataFrame:
+    """Map ``score(texts: pa.Array) -> list of columns`` over the whole texts in
+    bounded pieces; one row per input row with the id and the new columns."""
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    schema = rows.select("id").schema
+    for name, kind in fields.items():
+        schema = schema.add(name, kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, max_bytes=max_bytes):
+            found = score(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("id"), *map(pa.array, found)], names=schema.names)
+
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, mixing, prefix_count
+from . import bpe, exact, langid, mixing, prefix_count, quality, toxicity
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -17,6 +17,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; crc fold 0 of 5 is held out."""
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and their bytes decoded again."""
@@ -24,6 +30,12 @@ def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+@query
+def op5_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; crc fold 1 of 3 is held out."""
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of ``documents``: keeper, group size and digest per row."""
@@ -85,3 +97,9 @@ SELECT doc_id, size::BIGINT AS size, ssize::BIGINT AS source_size, target,
        (ep * size + least(size, greatest(0, floor(target - ep * ssize + 0.5) - before)))::BIGINT AS taken
 FROM e
 """
+
+
+@query
+def op9_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; crc fold 2 of 4 is held out."""
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
