@@ -61,9 +61,10 @@ def hash_sample(df: DataFrame, id_col: str, share: float, salt: str = "") -> Dat
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
-           max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+           max_bytes: int = 8 << 20, max_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text
-    (one document at least), which bounds a task's memory whatever the lengths."""
+    (one document at least), which bounds a task's memory whatever the lengths,
+    and at most ``max_rows`` rows."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -72,7 +73,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
             stop = int(np.searchsorted(ends, base + max_bytes, "right"))
-            stop = min(max(stop, start + 1), batch.num_rows)
+            stop = min(max(stop, start + 1), start + max_rows, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
 

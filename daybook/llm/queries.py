@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, langid, mixing, prefix_count, quality, toxicity
+from . import bpe, exact, langid, minhash, mixing, prefix_count, quality, toxicity
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -103,3 +103,9 @@ FROM e
 def op9_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; crc fold 2 of 4 is held out."""
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of ``documents`` at a weighted Jaccard similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
