@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, langid, minhash, mixing, prefix_count, quality, toxicity
+from . import bpe, exact, langid, minhash, mixing, prefix_count, quality, toxicity, vectors
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -30,6 +30,12 @@ def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.PATTERN)
 
 
+@query
+def op4_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between ``embeddings`` at a cosine of 0.95 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; crc fold 1 of 3 is held out."""
