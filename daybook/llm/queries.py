@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, langid, minhash, mixing, prefix_count, quality, toxicity, vectors
+from . import bpe, exact, langid, minhash, mixing, pii, prefix_count, quality, toxicity, vectors
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -23,6 +23,13 @@ def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base patterns and the field's spans."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.fit_field(docs))
+
+
 @query
 def op3_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document, and their bytes decoded again."""
