@@ -28,6 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import chunks, text_of
 
@@ -229,7 +230,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     schema = rows.select("id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if with_ids:
-        schema = schema.add("ids", "array<int>").add("decoded", "string")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = replayer(path, pattern)

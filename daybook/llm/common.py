@@ -39,6 +39,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``docs`` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(col: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(col), F.lit(""))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, staged, text_of
+from .common import SPACE_CLASS, fresh, staged, text_of
 
 SALTS = 256
 HEAD = 64
@@ -66,6 +66,7 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows are found again by id, so ids must be unique here; rows with a null id
     cannot be found again and all stay.
     """
-    kept = content_sort(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_keep"))
-    found = docs.join(kept, F.col(id_col) == F.col("_keep"), "left_semi")
+    key = fresh(docs, "_keep")
+    kept = content_sort(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias(key))
+    found = docs.join(kept, F.col(id_col) == F.col(key), "left_semi")
     return found.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -14,10 +14,10 @@ shingle's hash (equal draws are told apart by the hash), and idf is one of
 Samples are banded.  Texts with equal weighted sets are one class from the
 start; classes that share a band are candidates, and candidates are compared by
 their exact weighted Jaccard similarity.  A band shared by n classes is not
-turned into n * n pairs: first every class is compared with the smallest class
-of each of its bands, then only classes of a band that are still in different
-components are compared, in blocks, and there only pairs whose samples agree
-often enough to leave a chance.
+turned into n * n pairs: first every class is compared with the hub of each of
+its bands, then only classes of a band that are still in different components
+are compared, in blocks.  Pairs whose samples agree too seldom to leave a chance
+are set aside before texts are fetched.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, space_words, staged, text_of
-from .graph import components
+from .common import chunks, fresh, space_words, staged, text_of
+from .graph import ROWS_PER_TASK, components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 14, 4            # a pair at 0.8 shares no band with probability 6e-4
@@ -47,7 +47,10 @@ BUCKETS = 1 << 16
 IDF_SHARE = 0.25
 # Of a pair at 0.8, fewer than this share of samples agree with probability 1e-8.
 LEAST_AGREEMENT = 0.48
-SMALL, BLOCK = 32, 512
+# Classes that share a band get this many further samples from a smaller pool; a
+# pair at 0.8 agrees in less than this share of them with probability 3e-5.
+LOOKS, LOOK_POOL, LEAST_LOOKS = 512, 1024, 0.73
+SMALL, BLOCK = 32, 2048
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 24) - 1)
 
@@ -125,13 +128,13 @@ def fit_weights(docs: DataFrame, text_col: str = "text") -> Weights:
 class Sampler:
     """Consistent weighted samples of documents."""
 
-    def __init__(self, weights: Weights, bands: int = BANDS, rows: int = ROWS, seed: int = 10):
-        self.weights, self.bands, self.rows, self.n = weights, bands, rows, bands * rows
+    def __init__(self, weights: Weights, bands: int = BANDS, rows: int = ROWS, seed: int = 10, pool: int = POOL):
+        self.weights, self.bands, self.rows, self.n, self.pool = weights, bands, rows, bands * rows, pool
         draw = np.random.default_rng(seed)
-        self.r, self.c = draw.gamma(2, 1, (self.n, POOL)), np.log(draw.gamma(2, 1, (self.n, POOL)))
-        self.beta = draw.random((self.n, POOL))
+        self.r, self.c = draw.gamma(2, 1, (self.n, pool)), np.log(draw.gamma(2, 1, (self.n, pool)))
+        self.beta = draw.random((self.n, pool))
         weight = 1 + IDF_SHARE * np.arange(LEVELS) / (LEVELS - 1)
-        self.table = [np.concatenate([self.key(j, np.arange(POOL), np.full(POOL, w)) for w in weight]) for j in range(self.n)]
+        self.table = [np.concatenate([self.key(j, np.arange(pool), np.full(pool, w)) for w in weight]) for j in range(self.n)]
 
     def key(self, j: int, pick: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """ln a as an integer that sorts alike, its low 24 bits free; it depends
@@ -154,19 +157,24 @@ class Sampler:
         starts = np.r_[first, len(doc)]
         for a, b in zip(edges, edges[1:]):
             lo, hi = starts[a], starts[b]
-            f, offset = shingle[lo:hi], level[lo:hi] * POOL
+            f, offset = shingle[lo:hi], level[lo:hi] * self.pool
             many = np.flatnonzero(count[lo:hi] > 1)
             low, begin = f & LOW, first[a:b] - lo
             for j in range(self.n):
                 if j % 5 == 0:
                     bits = mixed(f, 77 + j)
-                pick = ((bits >> np.uint64(12 * (j % 5))) & np.uint64(POOL - 1)).astype(np.int64)
+                pick = ((bits >> np.uint64(12 * (j % 5))) & np.uint64(self.pool - 1)).astype(np.int64)
                 key = self.table[j][offset + pick]
                 if len(many):
                     key[many] = self.key(j, pick[many], weight[lo:hi][many])
                 out[a:b, j] = np.minimum.reduceat(key | low, begin)
         return out
 
+    @staticmethod
+    def bytes_of(samples: np.ndarray) -> np.ndarray:
+        """One byte per sample; different samples agree with probability 1/256."""
+        return (mixed(samples, 3) & np.uint64(255)).astype(np.uint8)
+
     def band_keys(self, samples: np.ndarray) -> np.ndarray:
         out = np.empty((len(samples), self.bands), np.uint64)
         with np.errstate(over="ignore"):
@@ -197,7 +205,7 @@ def signatures(docs: DataFrame, weights: Weights, id_col: str, text_col: str) ->
                         for d, value in zip(some.tolist(), total.tolist()):
                             own[k][d] = value
                 samples = sampler.samples(doc, shingle, count)
-                keys, short = sampler.band_keys(samples).tolist(), (mixed(samples, 3) & np.uint64(255)).astype(np.uint8)
+                keys, short = sampler.band_keys(samples).tolist(), sampler.bytes_of(samples)
                 for n_th, d in enumerate(some.tolist()):
                     bands[d], small[d] = keys[n_th], short[n_th].tobytes()
             yield pa.RecordBatch.from_arrays(
@@ -208,50 +216,78 @@ def signatures(docs: DataFrame, weights: Weights, id_col: str, text_col: str) ->
 
 
 def vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, id_col: str, text_col: str) -> DataFrame:
-    """(id, shingles, weights) of the wanted ids: sorted 32-bit hashes and
-    weights as packed arrays."""
+    """(id, shingles, repeats, looks) of the wanted ids, which have words: sorted
+    32-bit hashes, (place, count) of the shingles that occur more than once, and
+    a byte for each of ``LOOKS`` further samples, as packed arrays."""
+    sampler = Sampler(weights, 1, LOOKS, seed=11, pool=LOOK_POOL)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).join(wanted, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
             doc, shingle, count = shingle_counts(part.column("text"))
-            weight = weights.of(shingle, count)[1].astype(np.float32)
+            looks = [x.tobytes() for x in sampler.bytes_of(sampler.samples(doc, shingle, count))] if len(doc) else []
+            there = np.unique(doc).tolist()      # a row that repeats a wanted id may be without words
+            looks = dict(zip(there, looks))
             short = (shingle & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             order = np.lexsort((short, doc))
             ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
-            short, weight = short[order], weight[order]
+            short, count = short[order], count[order]
+            again = [np.flatnonzero(count[a:b] > 1) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([short[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
-                 pa.array([weight[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())], names=["id", "shingles", "weights"])
+                 pa.array([np.column_stack([at, count[a:b][at]]).astype(np.uint32).tobytes() for at, a, b in zip(again, ends, ends[1:])], pa.binary()),
+                 pa.array([looks.get(n) for n in range(part.num_rows)], pa.binary())],
+                names=["id", "shingles", "repeats", "looks"]).filter(pa.array(np.diff(ends) > 0))
 
     # of rows that repeat an id, the first is enough: they are in one class or none
-    return rows.mapInArrow(run, "id long, shingles binary, weights binary")
+    return rows.mapInArrow(run, "id long, shingles binary, repeats binary, looks binary").dropDuplicates(["id"])
 
 
-def weighted_jaccard(a: bytes, wa: bytes, b: bytes, wb: bytes) -> float:
-    a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    wa, wb = np.frombuffer(wa, np.float32).astype(float), np.frombuffer(wb, np.float32).astype(float)
-    at = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
-    both = b[at] == a if len(b) else np.zeros(len(a), bool)
-    shared = np.minimum(wa[both], wb[at[both]]).sum()
-    return float(shared / max(wa.sum() + wb.sum() - shared, 1e-12))
+def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Of two sets given as sorted hashes and weights."""
+    (x, wx), (y, wy) = a, b
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = y[at] == x
+    shared = np.minimum(wx[both], wy[at[both]]).sum()
+    return float(shared / (wx.sum() + wy.sum() - shared))
 
 
-def verified(pairs: DataFrame, vecs: DataFrame, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, vecs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
     """The pairs (a, b) whose exact weighted Jaccard similarity suffices."""
+    def unpacked(shingles: bytes, repeats: bytes) -> tuple[np.ndarray, np.ndarray]:
+        x, again = np.frombuffer(shingles, np.uint32), np.frombuffer(repeats, np.uint32).reshape(-1, 2)
+        count = np.ones(len(x), np.int64)
+        count[again[:, 0]] = again[:, 1]
+        return x, weights.of(x.astype(np.uint64), count)[1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [c.to_pylist() for c in batch.columns]
-            keep = [weighted_jaccard(*x) >= similarity - 1e-9 for x in zip(*got[2:])]
+            sa, ra, sb, rb = (c.to_pylist() for c in batch.columns[2:])
+            keep = [weighted_jaccard(unpacked(*a), unpacked(*b)) >= similarity - 1e-9 for a, b in zip(zip(sa, ra), zip(sb, rb))]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = vecs.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
-    right = vecs.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "wa", "sb", "wb").mapInArrow(run, "a long, b long")
+    left = vecs.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("repeats").alias("ra"))
+    right = vecs.select(F.col("id").alias("b"), F.col("shingles").alias("sb"), F.col("repeats").alias("rb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ra", "sb", "rb").mapInArrow(run, "a long, b long")
+
+
+def packed(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), -1)
 
 
-def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return (x == y).mean(-1) >= LEAST_AGREEMENT
+def agree(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    return (x == y).mean(-1) >= least
+
+
+def comparable(pairs: DataFrame, least: float) -> DataFrame:
+    """(a, b) of the pairs (a, b, bytes_a, bytes_b) that agree often enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (packed(c.to_pylist()) for c in batch.columns[2:])
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(agree(x, y, least)))
+
+    return pairs.select("a", "b", "bytes_a", "bytes_b").mapInArrow(run, "a long, b long")
 
 
 def agreeing(members: DataFrame) -> DataFrame:
@@ -262,22 +298,16 @@ def agreeing(members: DataFrame) -> DataFrame:
     a larger band are dealt into blocks of about ``BLOCK``, and every pair of
     blocks is one group, so no group grows with the band."""
     sized = staged(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band"), "minhash-apart")
-    small = sized.filter(F.col("n") <= SMALL).select("band", "id", "label", "bytes")
-    other = small.select("band", F.col("id").alias("b"), F.col("label").alias("label_b"), F.col("bytes").alias("bytes_b"))
+    small = sized.filter(F.col("n") <= SMALL).select("band", "id", "label", "looks")
+    other = small.select("band", F.col("id").alias("b"), F.col("label").alias("label_b"), F.col("looks").alias("bytes_b"))
     joined = small.join(other, "band").filter((F.col("id") < F.col("b")) & (F.col("label") != F.col("label_b"))) \
-        .select(F.col("id").alias("a"), "b", "bytes", "bytes_b")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in batch.columns[2:])
-                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(agree(x, y)))
+        .select(F.col("id").alias("a"), "b", F.col("looks").alias("bytes_a"), "bytes_b")
 
     mine = sized.filter(F.col("n") > SMALL).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")) \
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     # block i meets every block j: a member goes to the groups of its row and its column
-    dealt = mine.select("band", "id", "label", "bytes", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")).select(
-        "id", "label", "bytes", "block", F.col("band").alias("g_band"),
+    dealt = mine.select("band", "id", "label", "bytes", "looks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")).select(
+        "id", "label", "bytes", "looks", "block", F.col("band").alias("g_band"),
         F.least("block", "with").alias("g_one"), F.greatest("block", "with").alias("g_two"))
 
     def pair(group: pd.DataFrame) -> pd.DataFrame:
@@ -285,15 +315,17 @@ def agreeing(members: DataFrame) -> DataFrame:
         one, two = (group[group["block"] == group[g].iloc[0]] for g in ("g_one", "g_two"))
         out = []
         if len(one) and len(two):
-            x, y = (np.frombuffer(b"".join(g["bytes"]), np.uint8).reshape(len(g), -1) for g in (one, two))
+            x, y = packed(one["bytes"]), packed(two["bytes"])
+            far_x, far_y = packed(one["looks"]), packed(two["looks"])
             b, label = two["id"].to_numpy(), two["label"].to_numpy()
             for i, (a, of) in enumerate(zip(one["id"].tolist(), one["label"].tolist())):
-                near = agree(y, x[i]) & (label != of) & ((b > a) if same else True)
+                near = np.flatnonzero(agree(y, x[i], LEAST_AGREEMENT) & (label != of) & ((b > a) if same else True))
+                near = near[agree(far_y[near], far_x[i], LEAST_LOOKS)]
                 out += [(min(a, v), max(a, v)) for v in b[near].tolist()]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     large = dealt.groupBy("g_band", "g_one", "g_two").applyInPandas(pair, "a long, b long")
-    return joined.mapInArrow(compare, "a long, b long").union(large).distinct()
+    return comparable(joined, LEAST_LOOKS).union(large).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -314,20 +346,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = staged(known.groupBy("set_a", "set_b").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes")),
         "minhash-classes")
-    banded = classes.select("id", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    members = staged(banded.join(hubs, "band"), "minhash-members")
-    vecs = staged(vectors(docs, members.select("id").distinct(), weights, id_col, text_col).dropDuplicates(["id"]), "minhash-vectors")
-    to_hub = members.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = staged(verified(to_hub, vecs, similarity), "minhash-links")
-    found = components(links, "minhash-components")
-
-    with_label = members.select("id", "band").join(found.select(F.col("node").alias("id"), "label"), "id", "left") \
-        .withColumn("label", F.coalesce("label", "id"))
+    banded = classes.select("id", "bytes", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = staged(banded.join(shared, "band"), "minhash-members")
+    tasks = members.count() // ROWS_PER_TASK + 1   # slim rows: few classes need few tasks
+    vecs = staged(vectors(docs, members.select("id").distinct(), weights, id_col, text_col), "minhash-vectors")
+
+    # the hub of a band is its class with the most company in all its bands: the text
+    # that a group's copies were made from is closer to each than they are to each other
+    company = members.groupBy("id").agg(F.sum("n").alias("company"))
+    hubs = members.join(company, "id").groupBy("band").agg(F.max_by(F.struct("id", "bytes"), F.struct("company", -F.col("id"))).alias("hub"))
+    to_hub = members.join(hubs, "band").filter(F.col("id") != F.col("hub.id")).select(
+        F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"),
+        F.when(F.col("id") < F.col("hub.id"), F.col("bytes")).otherwise(F.col("hub.bytes")).alias("bytes_a"),
+        F.when(F.col("id") < F.col("hub.id"), F.col("hub.bytes")).otherwise(F.col("bytes")).alias("bytes_b")).dropDuplicates(["a", "b"])
+    tried = staged(comparable(to_hub.coalesce(tasks), LEAST_AGREEMENT), "minhash-tried")
+    links = staged(verified(tried, vecs, weights, similarity), "minhash-links")
+    found = components(links, "minhash-components", rounds=2)
+
+    with_label = members.drop("n").join(found.select(F.col("node").alias("id"), "label"), "id", "left") \
+        .withColumn("label", F.coalesce("label", "id")).coalesce(tasks)
     split = with_label.groupBy("band").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band")
-    apart = with_label.join(split, "band").join(classes.select("id", "bytes"), "id")
-    rest = agreeing(apart).join(to_hub, ["a", "b"], "left_anti")
-    more = staged(verified(rest, vecs, similarity), "minhash-links")
+    apart = with_label.join(split.coalesce(tasks), "band").join(vecs.select("id", "looks"), "id").coalesce(tasks)
+    rest = agreeing(apart).join(tried, ["a", "b"], "left_anti")
+    more = staged(verified(staged(rest.coalesce(tasks), "minhash-rest"), vecs, weights, similarity), "minhash-links")
     found = components(links.union(more), "minhash-components")
 
     final = classes.join(found.select(F.col("node").alias("id"), "label"), "id", "left").select(
@@ -347,5 +389,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged; rows are found by
     id, and rows with a null id all stay."""
-    gone = near_duplicates(docs, id_col, text_col, similarity).filter(~F.col("kept")).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    key = fresh(docs, "_gone")
+    gone = near_duplicates(docs, id_col, text_col, similarity).filter(~F.col("kept")).select(F.col(id_col).alias(key))
+    return docs.join(gone, F.col(id_col) == F.col(key), "left_anti")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE_RUN, staged, text_of, unit_hash
+from .common import NON_SPACE_RUN, fresh, staged, text_of, unit_hash
 
 # The weights that sources take in turn, by code point, null last.
 SOURCE_WEIGHTS = (5, 2, 1)
@@ -103,3 +103,20 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (summed.join(blocks, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b")))
             .select(F.col("_id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"), "target",
                     (epochs * F.col("size") + part).cast("long").alias("taken")))
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights: tuple[int, ...] = SOURCE_WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The rows of the mix, all columns unchanged: every document as often as
+    the mix takes it.  Texts stay whole: the document on a source's border is
+    taken once more if at least half its words are.  A text without words costs
+    nothing and stays once.  Rows are found again by id (rows that repeat an id
+    fare alike), and rows with a null id stay once.
+    """
+    mix = mix_sources(docs, id_col, text_col, source_col, weights, max_epochs)
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int")
+    key, number, turn = (fresh(docs, x) for x in ("_id", "_times", "_turn"))
+    taken = mix.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias(key)).agg(F.max(times).alias(number)).filter(F.col(number) > 0)
+    rows = docs.join(taken, F.col(id_col) == F.col(key))
+    again = rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(number))).alias(turn)).drop(turn)
+    return again.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import SEGMENT, Codes, PairIndex
 from .common import chunks, text_of
@@ -352,7 +353,7 @@ def count_documents(docs: DataFrame, path: str, limit: int, id_col: str = "doc_i
                        text_of(text_col).alias("text"))
     schema = rows.select("id", "n_bytes").schema.add("n_tokens", "long").add("over_limit", "boolean").add("limit_chars", "long")
     if prefixes:
-        schema = schema.add("prefix_counts", "array<int>")
+        schema = schema.add("prefix_counts", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = prefix_counter(path)
