@@ -69,7 +69,7 @@ def hash_sample(df: DataFrame, id_col: str, share: float, salt: str = "") -> Dat
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
-           max_bytes: int = 8 << 20, max_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+           max_bytes: int = 4 << 20, max_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one piece holds about ``max_bytes`` of text
     (one document at least), which bounds a task's memory whatever the lengths,
     and at most ``max_rows`` rows."""
@@ -116,7 +116,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
 
 
 def scored(docs: DataFrame, score, fields: dict[str, str], id_col: str, text_col: str,
-           max_bytes: int = 16 << 20) -> DataFrame:
+           max_bytes: int = 6 << 20) -> DataFrame:
     """Map ``score(texts: pa.Array) -> list of columns`` over the whole texts in
     bounded pieces; one row per input row with the id and the new columns."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))

@@ -220,24 +220,27 @@ def fit_detector(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
     sample = staged(drawn.select("id", "text", "label"), "toxicity-sample")
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches):
+        for part in chunks(batches, max_bytes=2 << 20):
             doc, code, words = space_words(part.column("text"))
             if not words:
                 continue
-            names = [plain_word(w) for w in words]
-            number = {w: n for n, w in enumerate(dict.fromkeys(names))}
+            plain = [plain_word(w) for w in words]
+            number = {w: n for n, w in enumerate(dict.fromkeys(plain))}
             kinds = list(number)
-            code = np.array([number[w] for w in names], np.int64)[code]
+            code = np.array([number[w] for w in plain], np.int64)[code]
             toxic = np.array(part.column("label").to_pylist(), bool)[doc]
             before = np.where(np.r_[False, doc[1:] == doc[:-1]], np.r_[0, code[:-1]], -1)
-            pairs = np.unique(np.column_stack([code[toxic], before[toxic]]), axis=0)
-            of_docs = np.unique(np.column_stack([code, toxic, doc]), axis=0)[:, :2]
-            in_toxic, in_clean = (np.bincount(of_docs[of_docs[:, 1] == y, 0], minlength=len(kinds)) for y in (1, 0))
+            pairs = np.unique(code[toxic] * (len(kinds) + 1) + before[toxic] + 1)
+            word, left = pa.array(pairs // (len(kinds) + 1)), pairs % (len(kinds) + 1) - 1
+            of_docs = np.unique((doc * 2 + toxic) * len(kinds) + code)
+            in_toxic, in_clean = (np.bincount(of_docs[of_docs // len(kinds) % 2 == y] % len(kinds), minlength=len(kinds)) for y in (1, 0))
+            names = pa.array(kinds, pa.string())
+            left = pa.array(left, mask=left < 0)
+            none = np.zeros(len(pairs), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([kinds[c] for c in pairs[:, 0]] + kinds, pa.string()),
-                 pa.array([kinds[c] if c >= 0 else "" for c in pairs[:, 1]] + [None] * len(kinds), pa.string()),
-                 pa.array(np.r_[np.zeros(len(pairs), np.int64), in_toxic]), pa.array(np.r_[np.zeros(len(pairs), np.int64), in_clean])],
-                names=["word", "before", "toxic", "clean"])
+                [pa.concat_arrays([names.take(word), names]),
+                 pa.concat_arrays([names.take(left).fill_null(""), pa.nulls(len(kinds), pa.string())]),
+                 pa.array(np.r_[none, in_toxic]), pa.array(np.r_[none, in_clean])], names=["word", "before", "toxic", "clean"])
 
     stats = staged(sample.mapInArrow(uses, "word string, before string, toxic long, clean long").filter(F.length("word") >= 3)
                    .groupBy("word", "before").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -280,7 +283,7 @@ def score_toxicity(docs: DataFrame, model: Detector, id_col: str = "doc_id", tex
 def without_toxic(docs: DataFrame, model: Detector, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below 0.5, all columns unchanged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, text_col, 16 << 20):
+        for part in chunks(batches, text_col, 6 << 20):
             yield part.filter(pa.array(model.score(part.column(text_col)) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
