@@ -37,13 +37,15 @@ def median_impute(df: DataFrame, cols: list[str], fit_on: DataFrame | None = Non
 
 def ffill_bfill(df: DataFrame, cols: list[str], partition: list[str], order: str = "day") -> DataFrame:
     """Forward fill then backward fill within each partition
-    (never across group borders, reference defect D5)."""
+    (never across group borders, reference defect D5).  The backward fill is
+    a forward fill over the reversed order: its frame grows by one row at a
+    time, so either pass is linear in the rows."""
     fw = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    bw = W.partitionBy(*partition).orderBy(order).rowsBetween(0, W.unboundedFollowing)
+    bw = W.partitionBy(*partition).orderBy(F.desc(order)).rowsBetween(W.unboundedPreceding, 0)
     out = df
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.last(c, ignorenulls=True).over(fw),
-                                           F.first(c, ignorenulls=True).over(bw)))
+                                           F.last(c, ignorenulls=True).over(bw)))
     return out
 
 

@@ -4,6 +4,8 @@
 IEEE operations, it gives bit-identical doubles in any engine that gets the
 same input, which is what report files and cross-engine checks need
 (built-in ``round`` implementations differ on ties and in the last bit).
+A value whose scaled form is 2^53 or more has no digits left to round, and NaN
+and infinities have none either: these pass through unchanged.
 """
 
 from __future__ import annotations
@@ -12,10 +14,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+LIMIT = 2 ** 53
+
+
 def rnd(c, digits: int = 6) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
-    return F.floor(col * scale + 0.5) / F.lit(scale)
+    value = col.cast("double")
+    return F.when(F.abs(value * scale) < float(LIMIT), F.floor(value * scale + 0.5) / F.lit(scale)).otherwise(value)
 
 
 def sql_round_rewrite(sql: str) -> str:
@@ -44,5 +50,6 @@ def sql_round_rewrite(sql: str) -> str:
         else:
             expr, d = sql[j + 6:last_comma], sql[last_comma + 1:k - 1].strip()
         expr = sql_round_rewrite(expr)
-        out.append(f"(floor(({expr}) * 1e{d} + 0.5) / 1e{d})")
+        x = f"CAST(({expr}) AS DOUBLE)"
+        out.append(f"(CASE WHEN abs({x} * 1e{d}) < {LIMIT} THEN floor({x} * 1e{d} + 0.5) / 1e{d} ELSE {x} END)")
         i = k

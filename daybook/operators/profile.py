@@ -280,15 +280,16 @@ def global_range(frames: list[DataFrame], value: str, pad: float = 0.1) -> DataF
                     (F.col("hi") + p).alias("axis_hi"))
 
 
-def availability_ratio(df: DataFrame, group: str = "grp", day: str = "day") -> DataFrame:
-    """Rows per (month, group) over distinct days per month, joined
-    back to every row on (month, group)."""
-    m = F.trunc(day, "MM")
+def availability_ratio(fit_on: DataFrame, rows: DataFrame, group: str = "grp", day: str = "day") -> DataFrame:
+    """Rows per (month of the year, group) over distinct days per month
+    of the year, fitted on ``fit_on`` and joined to ``rows`` on (month, group),
+    so later rows find their ratio too."""
+    m, df = F.month(day), fit_on
     per_g = df.groupBy(m.alias("month"), group).agg(F.count(F.lit(1)).alias("g_days"))
     per_m = df.groupBy(m.alias("month")).agg(F.countDistinct(day).alias("m_days"))
     ratio = per_g.join(per_m, "month").select(
         "month", group, (F.col("g_days") / F.col("m_days")).alias("availability"))
-    return df.withColumn("month", m).join(ratio, ["month", group], "left")
+    return rows.withColumn("month", m).join(checked_broadcast(ratio), ["month", group], "left")
 
 
 def business_year(day: Column, start_month: int = 8) -> Column:

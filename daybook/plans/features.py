@@ -144,6 +144,7 @@ SELECT day, grp, ROUND(temp, 9) AS temp, code FROM f
 # ------------------------------------------------------------ calendar features
 
 EPOCH = "1995-01-01"
+HARMONICS = 4
 
 
 def calendar_features(spark, sf_dir):
@@ -151,7 +152,7 @@ def calendar_features(spark, sf_dir):
     panel = P.panel_table(spark, sf_dir)
     sp = Q.spine(spark, panel)
     out = D.calendar_features(sp)
-    extra = {**D.cyclic_calendar(F.col("day")), **D.fourier_terms(F.col("day"), EPOCH, 2)}
+    extra = {**D.cyclic_calendar(F.col("day")), **D.fourier_terms(F.col("day"), EPOCH, HARMONICS)}
     out = out.select("*", *[rnd(v, 9).alias(k) for k, v in extra.items()])
     return out.select("*", rnd(D.normalized_year(sp), 9).alias("norm_year"),
                       D.days_since_start(sp).alias("days_since_start"),
@@ -168,7 +169,7 @@ def _calendar_features_sql() -> str:
         cyc.append(f"ROUND(cos({two_pi!r} * {x} / {p}), 9) AS {name}_cos")
     t = f"CAST(date_diff('day', DATE '{EPOCH}', day) AS DOUBLE)"
     for name, p in (("weekly", 7.0), ("yearly", 365.25)):
-        for i in (1, 2):
+        for i in range(1, HARMONICS + 1):
             cyc.append(f"ROUND(sin({two_pi!r} * {i} * {t} / {p}), 9) AS {name}_sin_{i}")
             cyc.append(f"ROUND(cos({two_pi!r} * {i} * {t} / {p}), 9) AS {name}_cos_{i}")
     names = ", ".join(f"'{n}'" for n in D.WEEKDAY_NAMES_EN)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import forecast as fc
+from ..session import materialize
 from ..sources.panel import TRAIN_END, VALID_END, VALID_START, panel_table
 from . import sqlparts as S
 from .registry import query
@@ -92,20 +93,20 @@ def _features_frame(spark, sf_dir):
     e = Q.enriched(spark, sf_dir)
     train = e.where(F.col("day") <= TRAIN_END)
     e = NU.mean_impute(e, ["temp", "wind", "cloud"], fit_on=train)
-    return e.select(
+    return materialize(e.select(
         "day", "grp", "units", "temp", "wind", "cloud",
         F.weekday("day").alias("weekday"),
-        (F.weekday("day") >= 5).cast("int").alias("weekend"),
         F.col("is_holiday").cast("int").alias("holiday"),
         F.col("is_festival").cast("int").alias("festival"),
         F.month("day").isin(6, 7, 8).cast("int").alias("summer"),
         *[(F.weekday("day") == d).cast("int").alias(f"wd{d}") for d in range(1, 7)],
         *[(F.col("grp") == g).cast("int").alias(f"g{g}") for g in list(P.GROUP_LABELS)[1:]],
-        P.split_label(F.col("day")).alias("split"))
+        P.split_label(F.col("day")).alias("split")))
 
 
 NUMERIC = ["temp", "wind", "cloud"]
-BINARY = ["weekend", "holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)] + \
+# no weekend flag: it is the sum of two weekday columns
+BINARY = ["holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)] + \
     [f"g{g}" for g in list(P.GROUP_LABELS)[1:]]
 
 
@@ -128,7 +129,7 @@ def per_group_ols(spark, sf_dir):
     solved in applyInPandas; small groups fall back to their mean), scored
     on validation, metrics per group."""
     x = _features_frame(spark, sf_dir)
-    feats = NUMERIC + ["weekend", "holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)]
+    feats = NUMERIC + ["holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)]
     models = LN.fit_per_group(x.where(F.col("split") == "train"), feats, "units", "grp")
     s = LN.score_per_group(x.where(F.col("split") == "validation"), models, feats, "grp")
     return ev.error_metrics(s.withColumnRenamed("units", "actual"), "actual", "pred", by=["grp"])
@@ -140,7 +141,7 @@ query("m07_per_group_ols")(per_group_ols)
 def _spectrum(spark, sf_dir):
     panel = panel_table(spark, sf_dir)
     train = panel.where(F.col("day") <= TRAIN_END)
-    spec = HM.spectrum(train, value="units")
+    spec = materialize(HM.spectrum(train, value="units"))
     return panel, train, spec
 
 
@@ -183,26 +184,56 @@ def harmonic_forecast(spark, sf_dir):
     return per.withColumn("mean_group_mae", mean)
 
 
-query("m11_harmonic_forecast")(harmonic_forecast)
+DFT = f"""s AS (SELECT grp, units AS y, CAST(row_number() OVER (PARTITION BY grp ORDER BY day) - 1 AS BIGINT) AS t,
+             COUNT(*) OVER (PARTITION BY grp) AS n FROM panel WHERE {S.TRAIN}),
+ks AS (SELECT DISTINCT grp, n, unnest(range(0, CAST(floor(n / 2) AS BIGINT) + 1)) AS k FROM s),
+dft AS (SELECT ks.grp, ks.k, ks.n,
+               SUM(s.y * cos(2 * pi() * ks.k * s.t / ks.n)) AS re,
+               -SUM(s.y * sin(2 * pi() * ks.k * s.t / ks.n)) AS im
+        FROM ks JOIN s ON ks.grp = s.grp GROUP BY ks.grp, ks.k, ks.n),
+top AS (SELECT *, sqrt(re * re + im * im) AS amp, atan2(im, re) AS phase FROM dft WHERE k > 0
+        QUALIFY row_number() OVER (PARTITION BY grp ORDER BY sqrt(re * re + im * im) DESC, k DESC) <= 4),
+mean AS (SELECT grp, re / n AS m, n FROM dft WHERE k = 0),
+v AS (SELECT grp, day, units, CAST(row_number() OVER (PARTITION BY grp ORDER BY day) - 1 AS BIGINT) AS t0
+      FROM panel WHERE {S.VALID})"""
+
+query("m11_harmonic_forecast", f"""
+WITH {S.PANEL}, {DFT},
+p AS (SELECT v.grp, v.day, v.units AS actual,
+             greatest(0.0, any_value(mean.m) + SUM(2 * top.amp / top.n * cos(2 * pi() * top.k / top.n * (v.t0 + top.n) + top.phase))) AS pred
+      FROM v JOIN mean ON v.grp = mean.grp JOIN top ON v.grp = top.grp GROUP BY v.grp, v.day, v.units),
+per AS (SELECT grp, {S.metrics(digits=3)} FROM p GROUP BY grp),
+g AS (SELECT AVG(mae) AS mean_group_mae FROM (SELECT AVG(ABS(actual - pred)) AS mae FROM p GROUP BY grp) t)
+SELECT per.*, ROUND(g.mean_group_mae, 3) AS mean_group_mae FROM per CROSS JOIN g
+""")(harmonic_forecast)
 
 
 def harmonic_features(spark, sf_dir):
-    """Harmonic feature columns from train-only harmonics, for train
-    and validation rows."""
+    """Five harmonics from train, as re cos and im sin columns, for train
+    and validation rows (t keeps counting)."""
     panel, train, spec = _spectrum(spark, sf_dir)
-    top = HM.dominant(spec, 4)
-    rows = panel.where(F.col("day") <= VALID_END)
-    t = HM.continue_index(train, rows.where(F.col("day") > TRAIN_END))
+    t = HM.continue_index(train, panel.where(F.col("day").between(VALID_START, VALID_END)))
     tr = train.withColumn("t", HM.time_index("grp", "day"))
-    out = HM.harmonic_features(tr.unionByName(t), top)
-    return out.select("day", "grp", "t", *[rnd(f"harm_{r}", 6).alias(f"harm_{r}") for r in range(1, 5)])
+    out = HM.harmonic_features(tr.unionByName(t), spec)
+    return out.select("day", "grp", "t", *[rnd(c, 3).alias(c) for r in range(1, 6) for c in (f"harm_{r}_cos", f"harm_{r}_sin")])
 
 
-query("m13_harmonic_features")(harmonic_features)
+query("m13_harmonic_features", f"""
+WITH {S.PANEL}, {DFT},
+h AS (SELECT grp, k, n, re, im, row_number() OVER (PARTITION BY grp ORDER BY sqrt(re * re + im * im) DESC, k DESC) AS rank
+      FROM dft WHERE k < CAST(floor(n / 2) AS BIGINT)),
+r AS (SELECT p.day, p.grp, s.t FROM s JOIN (SELECT grp, day, CAST(row_number() OVER (PARTITION BY grp ORDER BY day) - 1 AS BIGINT) AS t
+                                             FROM panel WHERE {S.TRAIN}) p ON s.grp = p.grp AND s.t = p.t
+      UNION ALL SELECT v.day, v.grp, v.t0 + mean.n FROM v JOIN mean ON v.grp = mean.grp)
+SELECT r.day, r.grp, r.t, """ + ", ".join(
+    f"ROUND(MAX(CASE WHEN h.rank = {i} THEN h.{part} * {fn}(2 * pi() * (CAST(h.k AS DOUBLE) / h.n) * r.t) END), 3) AS harm_{i}_{fn}"
+    for i in range(1, 6) for fn, part in (("cos", "re"), ("sin", "im"))) + """
+FROM r JOIN h ON r.grp = h.grp AND h.rank <= 5 GROUP BY r.day, r.grp, r.t
+""")(harmonic_features)
 
 
 def random_forest(spark, sf_dir):
-    """M14 + R8: random forest (300 trees, depth 8, min 5 rows per leaf) on
+    """Random forest (300 trees, depth 8, min 5 rows per leaf) on
     calendar, measure and harmonic-free features; validation metrics per
     group."""
     x = _features_frame(spark, sf_dir)
@@ -224,7 +255,7 @@ def boosted_submission(spark, sf_dir):
     x = _features_frame(spark, sf_dir)
     fit_rows = x.where(F.col("split").isin("train", "validation")).withColumn(
         "is_val", F.col("split") == "validation")
-    pipe = ML.feature_pipeline(NUMERIC, BINARY, "units", ML.boosted("units", "is_val", max_iter=60),
+    pipe = ML.feature_pipeline(NUMERIC, BINARY, "units", ML.boosted("units", "is_val"),
                                scale=False)
     model = pipe.fit(fit_rows)
     ids = x.where(F.col("split") == "test").select(P.packed_id(F.col("day"), F.col("grp")).alias("id"))
@@ -238,16 +269,27 @@ query("m15_boosted_submission")(boosted_submission)
 
 
 def harmonic_variant(spark, sf_dir):
-    """The reconstruction variant without the mean and without the
-    1/n factor, time index restarting at 0 (the reference's v2 behaviour,
-    off by default); MAE per group."""
+    """M10 (two-sided) + M12: the four largest amplitudes of the whole spectrum,
+    so both members of a mirror pair can be picked, put together without the
+    mean and without the 1/n factor, time index restarting at 0; MAE per
+    group.  The pair's members have equal cosines, so a pair counts twice."""
     panel, train, spec = _spectrum(spark, sf_dir)
-    top = HM.dominant(spec, 4)
+    top = HM.dominant(spec.withColumn("amp", F.round("amp", 6)), 4, one_sided=False)
     valid = panel.where(F.col("day").between(VALID_START, VALID_END))
     rows = HM.continue_index(train, valid, restart=True)
     pred = HM.reconstruct(rows, spec, top, with_mean=False, scale=False)
     return ev.error_metrics(pred.withColumnRenamed("units", "actual"), "actual", "pred",
-                            by=["grp"], digits=3)
-
-
-query("m12_harmonic_variant")(harmonic_variant)
+                            by=["grp"], digits=1)
+
+
+query("m12_harmonic_variant", f"""
+WITH {S.PANEL}, {DFT},
+two AS (SELECT grp, k, n, re, im FROM dft WHERE k > 0
+        UNION ALL SELECT grp, n - k, n, re, -im FROM dft WHERE k > 0 AND 2 * k < n),
+pick AS (SELECT *, round(sqrt(re * re + im * im), 6) AS a6, atan2(im, re) AS phase,
+                CASE WHEN 2 * k < n THEN CAST(k AS DOUBLE) / n ELSE CAST(k - n AS DOUBLE) / n END AS freq FROM two
+         QUALIFY row_number() OVER (PARTITION BY grp ORDER BY round(sqrt(re * re + im * im), 6) DESC, k DESC) <= 4),
+p AS (SELECT v.grp, v.day, v.units AS actual, SUM(2 * pick.a6 * cos(2 * pi() * pick.freq * v.t0 + pick.phase)) AS pred
+      FROM v JOIN pick ON v.grp = pick.grp GROUP BY v.grp, v.day, v.units)
+SELECT grp, {S.metrics(digits=1)} FROM p GROUP BY grp
+""")(harmonic_variant)

@@ -8,6 +8,7 @@ from ..functions.numeric import rnd
 from ..operators import impact as IM
 from ..operators import linear as LN
 from ..operators import ranking as RK
+from ..session import materialize
 from ..sources import panel as P
 from . import common as Q
 from . import sqlparts as S
@@ -210,9 +211,11 @@ def _design(spark, sf_dir):
                  (F.weekday("day") >= 5).cast("int").alias("weekend"),
                  F.col("is_holiday").cast("int").alias("holiday"),
                  *[(F.col("grp") == g).cast("int").alias(f"g{g}") for g in list(P.GROUP_LABELS)[1:]])
-    return e.dropna()
+    return materialize(e.dropna())
 
 
+# Fixed value: the largest subset of the exhaustive search.
+MAX_FEATURES = 10
 DESIGN = ["n_orders", "temp", "wind", "cloud", "weekend", "holiday"] + \
     [f"g{g}" for g in list(P.GROUP_LABELS)[1:]]
 
@@ -233,12 +236,12 @@ query("r04_prefix_search")(prefix_search)
 
 
 def subset_search(spark, sf_dir):
-    """Exhaustive subset search (every non-empty subset of the first 8
-    design columns) by adjusted R^2, best 10 subsets."""
+    """Exhaustive subset search (every non-empty subset of up to
+    ``MAX_FEATURES`` design columns) by adjusted R^2, report of the best 10."""
     d = _design(spark, sf_dir)
-    feats = DESIGN[:8]
+    feats = DESIGN
     g = LN.gram(d, feats, "units").first().asDict()
-    res = LN.score_subsets(spark, g, feats, LN.all_masks(spark, len(feats)))
+    res = LN.score_subsets(spark, g, feats, LN.all_masks(spark, len(feats), MAX_FEATURES))
     return (res.orderBy(F.col("adj_r2").desc(), "mask").limit(10)
             .select("size", LN.mask_names(feats).alias("features"), rnd("adj_r2", 6).alias("adj_r2")))
 

@@ -317,20 +317,18 @@ FROM j GROUP BY weekday, q1, median, q3, iqr
 
 
 def kde_by_split(spark, sf_dir):
-    """Gaussian kernel density of daily totals per split, 50 points."""
-    t = PR.daily_total(P.panel_table(spark, sf_dir), "units").withColumn(
-        "split", P.split_label(F.col("day")))
-    out = PR.kde_grid(t, "total", "split", grid=50, digits=9)
+    """Gaussian kernel density of the sales rows per split, 200 points."""
+    t = P.panel_table(spark, sf_dir).withColumn("split", P.split_label(F.col("day")))
+    out = PR.kde_grid(t, "units", "split", digits=9)
     return out.withColumn("x", rnd("x", 4))
 
 
 query("a27_kde_by_split", f"""WITH {S.PANEL},
-t AS (SELECT day, SUM(units) AS total FROM panel GROUP BY day),
-l AS (SELECT *, {S.SPLIT_CASE} AS split FROM t),
+l AS (SELECT units AS total, {S.SPLIT_CASE} AS split FROM panel),
 st AS (SELECT split, COUNT(total) AS n, stddev_samp(total) * pow(COUNT(total), -0.2) AS bw,
               min(total) AS lo, max(total) AS hi FROM l GROUP BY split),
-g AS (SELECT split, n, bw, lo - 3.0 * bw AS g0, (hi - lo + 2 * 3.0 * bw) / 49 AS step,
-             unnest(range(0, 50)) AS k FROM st),
+g AS (SELECT split, n, bw, lo - 3.0 * bw AS g0, (hi - lo + 2 * 3.0 * bw) / 199 AS step,
+             unnest(range(0, 200)) AS k FROM st),
 d AS (SELECT g.split, g.k, g.n, g.bw, g.g0, g.step,
              SUM(exp(-0.5 * ((g.g0 + g.k * g.step - l.total) / g.bw) * ((g.g0 + g.k * g.step - l.total) / g.bw))) AS s
       FROM g JOIN l ON g.split = l.split GROUP BY ALL)
@@ -369,20 +367,22 @@ SELECT lo, hi, ROUND(greatest(0.0, lo - (hi - lo) * 0.1), 6) AS axis_lo, ROUND(h
 
 
 def availability(spark, sf_dir):
-    """Rows per (month, group) over distinct days per month, on
-    train only (defect D15), joined back to every train row."""
-    train = P.panel_table(spark, sf_dir).where(F.col("day") <= P.TRAIN_END)
-    out = PR.availability_ratio(train)
+    """Rows per (month of the year, group) over distinct days per month
+    of the year, fitted on train only (defect D15), joined to every row of
+    train and validation."""
+    panel = P.panel_table(spark, sf_dir).where(F.col("day") <= P.VALID_END)
+    out = PR.availability_ratio(panel.where(F.col("day") <= P.TRAIN_END), panel)
     return out.select("day", "grp", "month", rnd("availability", 9).alias("availability"))
 
 
 query("a30_availability", f"""WITH {S.PANEL},
 tr AS (SELECT * FROM panel WHERE {S.TRAIN}),
-g AS (SELECT CAST(date_trunc('month', day) AS DATE) AS month, grp, COUNT(*) AS g_days FROM tr GROUP BY 1, 2),
-m AS (SELECT CAST(date_trunc('month', day) AS DATE) AS month, COUNT(DISTINCT day) AS m_days FROM tr GROUP BY 1)
-SELECT tr.day, tr.grp, g.month, ROUND(g.g_days / m.m_days, 9) AS availability
-FROM tr JOIN g ON CAST(date_trunc('month', tr.day) AS DATE) = g.month AND tr.grp = g.grp
-JOIN m ON g.month = m.month
+g AS (SELECT month(day) AS month, grp, COUNT(*) AS g_days FROM tr GROUP BY 1, 2),
+m AS (SELECT month(day) AS month, COUNT(DISTINCT day) AS m_days FROM tr GROUP BY 1)
+SELECT p.day, p.grp, CAST(month(p.day) AS INTEGER) AS month, ROUND(g.g_days / m.m_days, 9) AS availability
+FROM panel p LEFT JOIN g ON month(p.day) = g.month AND p.grp = g.grp
+LEFT JOIN m ON g.month = m.month
+WHERE p.day <= DATE '{P.VALID_END}'
 """)(availability)
 
 

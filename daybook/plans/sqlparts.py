@@ -20,11 +20,13 @@ PANEL = f"""panel AS (
 DAILY = """daily AS (
   SELECT day, n_orders,
          CAST(cents AS DOUBLE) / n_orders / 1000000.0 - 10.0 AS temp,
-         CAST(n_orders AS DOUBLE) AS wind,
+         CAST(spread AS DOUBLE) / 10000000.0 AS wind,
          CAST(floor(n_high * 8 / n_orders) AS INTEGER) AS cloud,
          code
   FROM (SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS n_orders,
                SUM(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS cents,
+               MAX(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT))
+                 - MIN(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS spread,
                SUM(CASE WHEN TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) <= 2 THEN 1 ELSE 0 END) AS n_high,
                MIN(TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS code
         FROM orders GROUP BY 1) t)"""

@@ -7,7 +7,6 @@ their own session, and every operator reads what it needs from it.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +27,10 @@ BASE_CONF = {
 }
 
 
+class CheckpointFolderMissing(RuntimeError):
+    """The session names no folder that all executors share."""
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "daybook") -> SparkSession:
     """Session for tests and the bench: local mode, no UI."""
@@ -35,7 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     for k, v in BASE_CONF.items():
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", "16g")
+    builder = builder.config("spark.driver.memory", "8g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -45,9 +48,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator of the cluster sets that folder (a shared file
-    system path).  Only when it is unset, as in local tests, a fresh scratch
-    folder is taken.
+    On a cluster its operator sets that folder (a shared file system path); a
+    session of several machines without it gets a ``CheckpointFolderMissing``,
+    as a folder of one machine would be invisible to the others.  Only a local
+    session (tests, bench), where there is one machine, takes a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise CheckpointFolderMissing("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -62,9 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder, for file round trips."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts)
+    """A path below the shared checkpoint folder, for file round trips; the file
+    system removes it when the session's JVM ends."""
+    path = "/".join([ensure_checkpoint_dir(spark), *parts])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:

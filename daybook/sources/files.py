@@ -4,8 +4,6 @@ paths can be any shared file system the cluster mounts."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,9 +15,15 @@ class MissingInputError(FileNotFoundError):
     silently, defect D13)."""
 
 
-def require_inputs(paths: list[str]) -> None:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on any file system that the session can read."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def require_inputs(spark: SparkSession, paths: list[str]) -> None:
     """Fail with a named error before any read."""
-    missing = [p for p in paths if not os.path.exists(p)]
+    missing = [p for p in paths if not path_exists(spark, p)]
     if missing:
         raise MissingInputError(f"missing inputs: {missing}")
 

@@ -95,22 +95,23 @@ def daily_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     * ``temp``: mean order value in units of 10,000, minus 10 (a
       temperature-like scale); cents are summed as integers so the value is
       exact and engine independent.
-    * ``wind``: orders that day.
+    * ``wind``: spread of the day's order values, in units of 100,000.
     * ``cloud``: 0-8, eighths of orders with priority 1 or 2.
     * ``code``: the most urgent priority number of the day.
     """
     o = read_table(spark, sf_dir, "orders", ["o_orderdate", "o_totalprice", "o_orderpriority"])
     code = priority_code(F.col("o_orderpriority"))
+    cents = F.floor(F.col("o_totalprice") * 100 + 0.5).cast("long")
     g = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.floor(F.col("o_totalprice") * 100 + 0.5).cast("long")).alias("cents"),
+        F.sum(cents).alias("cents"), (F.max(cents) - F.min(cents)).alias("spread"),
         F.sum(F.when(code <= 2, 1).otherwise(0)).alias("n_high"),
         F.min(code).alias("code"),
     )
     return g.select(
         "day", "n_orders",
         (F.col("cents") / F.col("n_orders") / F.lit(1_000_000.0) - F.lit(10.0)).alias("temp"),
-        F.col("n_orders").cast("double").alias("wind"),
+        (F.col("spread") / F.lit(10_000_000.0)).alias("wind"),
         F.floor(F.col("n_high") * 8 / F.col("n_orders")).cast("int").alias("cloud"),
         "code",
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -16,7 +14,7 @@ TABLES = (
 def table_path(sf_dir: str, name: str) -> str:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return os.path.join(sf_dir, f"{name}.parquet")
+    return f"{sf_dir}/{name}.parquet"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
@@ -26,12 +24,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     just makes the intent explicit)."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def register_views(spark: SparkSession, sf_dir: str,
-                   names: tuple[str, ...] = TABLES) -> None:
-    """Register every table as a temp view (for SQL-first callers)."""
-    for n in names:
-        p = table_path(sf_dir, n)
-        if os.path.exists(p):
-            spark.read.parquet(p).createOrReplaceTempView(n)

@@ -100,3 +100,35 @@ def test_rounding_same_rule_both_sides(spark):
     df = spark.createDataFrame([(0.125,), (-2.5,)], "x double")
     assert [r[0] for r in df.select(rnd("x", 2)).collect()] == [0.13, -2.5]
     assert sql_round_rewrite("ROUND(a, 2)") == "(floor((a) * 1e2 + 0.5) / 1e2)"
+
+
+def test_rounding_passes_what_has_no_digits(spark):
+    from daybook.functions.numeric import rnd
+    df = spark.createDataFrame([(1e14, 5e10, float("nan"), float("inf"), 2.5)], "a double, b double, c double, d double, e double")
+    r = df.select(rnd("a", 6), rnd("b", 9), rnd("c", 3), rnd("d", 3), rnd("e", 0)).first()
+    assert r[0] == 1e14 and r[1] == 5e10 and r[2] != r[2] and r[3] == float("inf") and r[4] == 3.0
+
+
+def test_availability_is_by_month_of_the_year(spark):
+    import datetime
+    from daybook.operators.profile import availability_ratio
+    D = datetime.date
+    fit = spark.createDataFrame([(D(1999, 1, 1), 1), (D(1999, 1, 2), 1), (D(1999, 1, 2), 2), (D(1998, 1, 5), 1)], "day date, grp int")
+    rows = spark.createDataFrame([(D(2000, 1, 9), 1), (D(2000, 1, 9), 2), (D(2000, 2, 1), 1)], "day date, grp int")
+    got = {(r.day.month, r.grp): r.availability for r in availability_ratio(fit, rows).collect()}
+    assert got == {(1, 1): 1.0, (1, 2): 1 / 3, (2, 1): None}
+
+
+def test_missing_checkpoint_folder_is_a_named_error():
+    import pytest
+    from daybook import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+    with pytest.raises(session.CheckpointFolderMissing):
+        session.ensure_checkpoint_dir(Session)

@@ -82,9 +82,9 @@ def test_packed_ids_round_trip(spark):
     assert (got[1].d, got[1].g) == (D(1999, 12, 31), 6)
 
 
-def test_missing_inputs_raise():
+def test_missing_inputs_raise(spark):
     with pytest.raises(FI.MissingInputError):
-        FI.require_inputs(["/nonexistent/file.csv"])
+        FI.require_inputs(spark, ["/nonexistent/file.csv"])
 
 
 def test_coercing_cast(spark):
