@@ -35,7 +35,7 @@ def test_harmonic_forecast_matches_numpy(spark):
 def test_per_group_ols_matches_numpy(spark):
     got = {r.grp: r.mae for r in E.queries()["m07_per_group_ols"](spark, SF_SMALL).collect()}
     x = FQ._features_frame(spark, SF_SMALL).toPandas()
-    feats = FQ.NUMERIC + ["weekend", "holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)]
+    feats = FQ.NUMERIC + ["holiday", "festival", "summer"] + [f"wd{d}" for d in range(1, 7)]
     for g, d in x.groupby("grp"):
         tr, va = d[d.split == "train"], d[d.split == "validation"]
         if len(va) == 0:
