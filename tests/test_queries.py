@@ -45,7 +45,7 @@ def test_entry(spark):
 def test_every_query_has_callable_and_known_twin():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 80
+    assert len(qs) >= 100
 
 
 @pytest.mark.parametrize("name", FAST)
