@@ -24,12 +24,6 @@ def one_hot(col, levels: list, prefix: str, drop_first: bool = False) -> dict[st
     return {f"{prefix}_{v}": F.coalesce((c == F.lit(v)), F.lit(False)).cast("int") for v in lv}
 
 
-def with_one_hot(df: DataFrame, col: str, levels: list, prefix: str | None = None,
-                 drop_first: bool = False) -> DataFrame:
-    cols = one_hot(col, levels, prefix or col, drop_first)
-    return df.select("*", *[v.alias(k) for k, v in cols.items()])
-
-
 def substring_flags(col, conditions: dict[str, str]) -> dict[str, Column]:
     """flag per selected condition: description contains the text."""
     c = F.col(col) if isinstance(col, str) else col

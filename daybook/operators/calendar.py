@@ -95,10 +95,6 @@ def national_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
             .select("day", "year").dropDuplicates(["day"]))
 
 
-def with_weekday(df: DataFrame, day_col: str = "day") -> DataFrame:
-    return df.withColumn("weekday", F.weekday(day_col))
-
-
 def workday(day: Column, is_holiday: Column) -> Column:
     """Monday-Friday and not a holiday."""
     return (F.weekday(day) < 5) & ~F.coalesce(is_holiday, F.lit(False))

@@ -17,10 +17,6 @@ def before(df: DataFrame, cut: str, day: str = "day") -> DataFrame:
     return df.where(F.col(day) < F.lit(cut).cast("date"))
 
 
-def on_or_after(df: DataFrame, cut: str, day: str = "day") -> DataFrame:
-    return df.where(F.col(day) >= F.lit(cut).cast("date"))
-
-
 def outside_window(df: DataFrame, start: str, end: str, day: str = "day") -> DataFrame:
     """Complement of the closed window."""
     return df.where(~F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))

@@ -152,10 +152,3 @@ def split_label(day: Column) -> Column:
         cond = day.between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return expr
-
-
-def event_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second, short panel ``(day, event_type, n, value)`` from ``events``."""
-    ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
-    return ev.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
