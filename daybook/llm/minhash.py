@@ -45,12 +45,12 @@ BUCKETS = 1 << 16
 # shingles that a large group of copies shares would weigh little against the
 # edits between them, and the group would fall apart as it grows.
 IDF_SHARE = 0.25
-# Of a pair at 0.8, fewer than this share of samples agree with probability 1e-8.
+# Of a pair at 0.8, fewer than this share of 56 samples agree with probability 1e-8.
 LEAST_AGREEMENT = 0.48
 # Classes that share a band get this many further samples from a smaller pool; a
 # pair at 0.8 agrees in less than this share of them with probability 3e-5.
 LOOKS, LOOK_POOL, LEAST_LOOKS = 512, 1024, 0.73
-SMALL, BLOCK = 32, 2048
+SMALL, BLOCK = 32, 1024
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 24) - 1)
 
@@ -252,18 +252,20 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(shared / (wx.sum() + wy.sum() - shared))
 
 
+def unpacked(shingles: bytes, repeats: bytes, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and weights of a packed set."""
+    x, again = np.frombuffer(shingles, np.uint32), np.frombuffer(repeats, np.uint32).reshape(-1, 2)
+    count = np.ones(len(x), np.int64)
+    count[again[:, 0]] = again[:, 1]
+    return x, weights.of(x.astype(np.uint64), count)[1]
+
+
 def verified(pairs: DataFrame, vecs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
     """The pairs (a, b) whose exact weighted Jaccard similarity suffices."""
-    def unpacked(shingles: bytes, repeats: bytes) -> tuple[np.ndarray, np.ndarray]:
-        x, again = np.frombuffer(shingles, np.uint32), np.frombuffer(repeats, np.uint32).reshape(-1, 2)
-        count = np.ones(len(x), np.int64)
-        count[again[:, 0]] = again[:, 1]
-        return x, weights.of(x.astype(np.uint64), count)[1]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sa, ra, sb, rb = (c.to_pylist() for c in batch.columns[2:])
-            keep = [weighted_jaccard(unpacked(*a), unpacked(*b)) >= similarity - 1e-9 for a, b in zip(zip(sa, ra), zip(sb, rb))]
+            keep = [weighted_jaccard(unpacked(*a, weights), unpacked(*b, weights)) >= similarity - 1e-9 for a, b in zip(zip(sa, ra), zip(sb, rb))]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = vecs.select(F.col("id").alias("a"), F.col("shingles").alias("sa"), F.col("repeats").alias("ra"))
@@ -290,42 +292,49 @@ def comparable(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b", "bytes_a", "bytes_b").mapInArrow(run, "a long, b long")
 
 
-def agreeing(members: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of classes that share a band, are in different
-    components and agree in enough samples.
+def still_apart(members: DataFrame, tried: DataFrame, vecs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+    """Links (a, b) between classes that share a band but not a label.
 
-    Bands of up to ``SMALL`` classes are joined with themselves.  The classes of
-    a larger band are dealt into blocks of about ``BLOCK``, and every pair of
-    blocks is one group, so no group grows with the band."""
+    ``members`` holds (band, id, label, bands).  Bands of up to ``SMALL``
+    classes are joined with themselves.  The classes of a larger band are dealt
+    into blocks of about ``BLOCK``; every pair of blocks is one group, so no
+    group grows with the band, and compares its texts itself, so that only links
+    leave it.  A pair that shares several bands is compared in the first."""
     sized = staged(members.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band"), "minhash-apart")
-    small = sized.filter(F.col("n") <= SMALL).select("band", "id", "label", "looks")
+    small = sized.filter(F.col("n") <= SMALL).join(vecs.select("id", "looks"), "id").select("band", "id", "label", "looks")
     other = small.select("band", F.col("id").alias("b"), F.col("label").alias("label_b"), F.col("looks").alias("bytes_b"))
     joined = small.join(other, "band").filter((F.col("id") < F.col("b")) & (F.col("label") != F.col("label_b"))) \
         .select(F.col("id").alias("a"), "b", F.col("looks").alias("bytes_a"), "bytes_b")
+    pairs = comparable(joined, LEAST_LOOKS).distinct().join(tried, ["a", "b"], "left_anti")
+    few = verified(pairs, vecs, weights, similarity)
 
     mine = sized.filter(F.col("n") > SMALL).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")) \
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(vecs, "id")
     # block i meets every block j: a member goes to the groups of its row and its column
-    dealt = mine.select("band", "id", "label", "bytes", "looks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")).select(
-        "id", "label", "bytes", "looks", "block", F.col("band").alias("g_band"),
+    dealt = mine.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "id", "label", "bands", "looks", "shingles", "repeats", "block", F.col("band").alias("g_band"),
         F.least("block", "with").alias("g_one"), F.greatest("block", "with").alias("g_two"))
 
-    def pair(group: pd.DataFrame) -> pd.DataFrame:
-        same = group["g_one"].iloc[0] == group["g_two"].iloc[0]
-        one, two = (group[group["block"] == group[g].iloc[0]] for g in ("g_one", "g_two"))
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        band, first, second = (group[c].iloc[0] for c in ("g_band", "g_one", "g_two"))
+        one, two = group[group["block"] == first], group[group["block"] == second]
         out = []
         if len(one) and len(two):
-            x, y = packed(one["bytes"]), packed(two["bytes"])
-            far_x, far_y = packed(one["looks"]), packed(two["looks"])
+            x, y = packed(one["looks"]), packed(two["looks"])
+            bands_x, bands_y = np.stack(one["bands"].to_list()), np.stack(two["bands"].to_list())
             b, label = two["id"].to_numpy(), two["label"].to_numpy()
+            texts = [[unpacked(s, r, weights) for s, r in zip(g["shingles"], g["repeats"])] for g in (one, two)]
             for i, (a, of) in enumerate(zip(one["id"].tolist(), one["label"].tolist())):
-                near = np.flatnonzero(agree(y, x[i], LEAST_AGREEMENT) & (label != of) & ((b > a) if same else True))
-                near = near[agree(far_y[near], far_x[i], LEAST_LOOKS)]
-                out += [(min(a, v), max(a, v)) for v in b[near].tolist()]
+                near = np.flatnonzero((label != of) & ((b > a) if first == second else True))
+                near = near[agree(y[near, :64], x[i, :64], LEAST_AGREEMENT)]
+                near = near[agree(y[near], x[i], LEAST_LOOKS)]
+                shared = bands_y[near] == bands_x[i]
+                near = near[bands_x[i][shared.argmax(1)] == band] if len(near) else near
+                out += [(min(a, int(b[j])), max(a, int(b[j]))) for j in near.tolist()
+                        if weighted_jaccard(texts[0][i], texts[1][j]) >= similarity - 1e-9]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    large = dealt.groupBy("g_band", "g_one", "g_two").applyInPandas(pair, "a long, b long")
-    return comparable(joined, LEAST_LOOKS).union(large).distinct()
+    return few.union(dealt.groupBy("g_band", "g_one", "g_two").applyInPandas(compare, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -364,12 +373,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = staged(verified(tried, vecs, weights, similarity), "minhash-links")
     found = components(links, "minhash-components", rounds=2)
 
-    with_label = members.drop("n").join(found.select(F.col("node").alias("id"), "label"), "id", "left") \
+    with_label = members.select("id", "band").join(found.select(F.col("node").alias("id"), "label"), "id", "left") \
         .withColumn("label", F.coalesce("label", "id")).coalesce(tasks)
     split = with_label.groupBy("band").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band")
-    apart = with_label.join(split.coalesce(tasks), "band").join(vecs.select("id", "looks"), "id").coalesce(tasks)
-    rest = agreeing(apart).join(tried, ["a", "b"], "left_anti")
-    more = staged(verified(staged(rest.coalesce(tasks), "minhash-rest"), vecs, weights, similarity), "minhash-links")
+    apart = with_label.join(split.coalesce(tasks), "band").join(classes.select("id", "bands"), "id")
+    more = staged(still_apart(apart, tried, vecs, weights, similarity), "minhash-links")
     found = components(links.union(more), "minhash-components")
 
     final = classes.join(found.select(F.col("node").alias("id"), "label"), "id", "left").select(
