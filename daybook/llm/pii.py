@@ -229,12 +229,13 @@ class Field:
         for (g, base), lo, hi in zip(graphs, sizes, sizes[1:]):
             found = np.where((p[lo:hi].max(1) >= SURE) & (known[lo:hi] == 0), p[lo:hi].argmax(1), 0)
             spans: list[tuple[int, int, int]] = []
+            beside = set(g.edges[g.edges[:, 2] == 0, 1].tolist())      # nodes with a neighbour before them
             at = -2
-            for i in np.flatnonzero(found).tolist():
+            for i in np.flatnonzero(found).tolist():      # none of them overlaps a base span
                 a, b = g.spans[i]
-                if a == b or any(a < e and s < b for _, s, e in base):
+                if a == b:
                     continue
-                if spans and spans[-1][0] == found[i] - 1 and at == i - 1 and (i - 1, i, 0) in set(map(tuple, g.edges.tolist())):
+                if spans and spans[-1][0] == found[i] - 1 and at == i - 1 and i in beside:
                     spans[-1] = (spans[-1][0], spans[-1][1], b)
                 else:
                     spans.append((int(found[i]) - 1, a, b))
@@ -265,9 +266,10 @@ def train_field(x: np.ndarray, edges: np.ndarray, y: np.ndarray, steps: int = 12
     return field
 
 
-def fit_field(docs: DataFrame, sample_docs: int = 8000, id_col: str = "doc_id", text_col: str = "text") -> Field:
+def fit_field(docs: DataFrame, sample_docs: int = 8000, most_nodes: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> Field:
     """Train on the base spans of about ``sample_docs`` whole documents drawn by
-    id hash; the driver gets the graphs of their digit and at-sign tokens."""
+    id hash; the driver gets the graphs of their digit and at-sign tokens.  Of
+    these, in a fixed order, as many train the field as fit in ``most_nodes``."""
     known = docs.filter(F.col(id_col).isNotNull())
     drawn = hash_sample(known.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), "id",
                         sample_docs / max(1, known.count()), "pii")
@@ -277,11 +279,13 @@ def fit_field(docs: DataFrame, sample_docs: int = 8000, id_col: str = "doc_id",
             rows = []
             for text in part.column("text").to_pylist():
                 g = graph_of(text)
-                if g is not None:
+                if g is not None and len(g.spans) <= most_nodes:
                     rows.append((g.x.tobytes(), g.edges.tobytes(), labels_of(g.spans, base_spans(text)).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in range(3)], names=["x", "edges", "y"])
 
     rows = sorted(tuple(map(bytes, r)) for r in drawn.mapInArrow(run, "x binary, edges binary, y binary").collect())
+    rows.sort(key=lambda r: hashlib.sha256(r[0] + r[1]).digest())
+    rows = [r for r, n in zip(rows, np.cumsum([len(r[0]) // FEATURES for r in rows])) if n <= most_nodes]
     x = [np.frombuffer(r[0], np.int8).reshape(-1, FEATURES) for r in rows]
     sizes = np.cumsum([0] + [len(v) for v in x])
     edges = [np.frombuffer(r[1], np.int64).reshape(-1, 3) + np.array([at, at, 0]) for r, at in zip(rows, sizes)]

@@ -1,10 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 TEXT = "the quick brown fox jumps over the lazy dog while another sleepy animal looks on from the warm green hill"
 
 
 @pytest.fixture(scope="session")
-def awkward(spark):
+def awkward(spark, tmp_path_factory):
     """Nulls in every column, empty and very long texts, repeated rows, an
     extra column for every name an operator might use."""
     long = " ".join(f"word{i % 977}" for i in range(20_000))
@@ -16,9 +17,10 @@ def awkward(spark):
     cols = "doc_id long, text string, lang string, source string"
     docs = spark.createDataFrame(rows, cols)
     for name in ("id", "size", "kept", "score", "_id", "_keep", "_gone", "_times", "_norm", "label", "word", "taken", "bands"):
-        from pyspark.sql import functions as F
         docs = docs.withColumn(name, F.lit("clash"))
-    return docs
+    path = str(tmp_path_factory.mktemp("awkward") / "documents.parquet")
+    docs.coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @pytest.fixture(scope="session")
