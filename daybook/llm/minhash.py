@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sizing import checked_broadcast
 from .common import chunks, fresh, space_words, staged, text_of
 from .graph import ROWS_PER_TASK, components
 
@@ -51,6 +52,8 @@ LEAST_AGREEMENT = 0.48
 # pair at 0.8 agrees in less than this share of them with probability 3e-5.
 LOOKS, LOOK_POOL, LEAST_LOOKS = 512, 1024, 0.73
 SMALL, BLOCK = 32, 1024
+# Ids that are broadcast at most: 8 bytes each.
+MOST_IDS = 1_000_000
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64((1 << 24) - 1)
 
@@ -220,7 +223,9 @@ def vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, id_col: str, t
     32-bit hashes, (place, count) of the shingles that occur more than once, and
     a byte for each of ``LOOKS`` further samples, as packed arrays."""
     sampler = Sampler(weights, 1, LOOKS, seed=11, pool=LOOK_POOL)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).join(wanted, "id", "left_semi")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    # few ids go to the texts; beyond the bound both sides are shuffled
+    rows = rows.join(checked_broadcast(wanted, MOST_IDS), "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
