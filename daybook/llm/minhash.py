@@ -32,7 +32,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sizing import checked_broadcast
 from .common import chunks, fresh, space_words, staged, text_of
 from .graph import ROWS_PER_TASK, components
 
@@ -224,8 +223,8 @@ def vectors(docs: DataFrame, wanted: DataFrame, weights: Weights, id_col: str, t
     a byte for each of ``LOOKS`` further samples, as packed arrays."""
     sampler = Sampler(weights, 1, LOOKS, seed=11, pool=LOOK_POOL)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    # few ids go to the texts; beyond the bound both sides are shuffled
-    rows = rows.join(checked_broadcast(wanted, MOST_IDS), "id", "left_semi")
+    # few ids go to the texts; beyond the bound the planner chooses
+    rows = rows.join(F.broadcast(wanted) if wanted.count() <= MOST_IDS else wanted, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
