@@ -93,7 +93,11 @@ def space_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
     words = pc.list_flatten(lists)
     doc = pc.list_parent_indices(lists).to_numpy(False).astype(np.int64)
     coded = words.dictionary_encode()
-    return doc, coded.indices.to_numpy(False).astype(np.int64), coded.dictionary.to_pylist()
+    code, kinds = coded.indices.to_numpy(False).astype(np.int64), coded.dictionary.to_pylist()
+    if "" in kinds:                # what stands before or after white space at an end
+        real = code != kinds.index("")
+        doc, code = doc[real], code[real]
+    return doc, code, kinds if len(code) else []
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, most: tuple[int, int],

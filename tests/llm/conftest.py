@@ -4,6 +4,15 @@ from pyspark.sql import functions as F
 TEXT = "the quick brown fox jumps over the lazy dog while another sleepy animal looks on from the warm green hill"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """Small tables need few shuffle partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def awkward(spark, tmp_path_factory):
     """Nulls in every column, empty and very long texts, repeated rows, an
