@@ -10,9 +10,14 @@ SVM are one weight per letter triple, so a word is scored by table look-ups.
 Documents carry the labels, sentences the insults.  Training therefore looks
 for witnesses in the sentences of labelled documents: words with many different
 left neighbours in toxic documents (copies of one document give only one) and
-next to none in clean ones.  A document's margin is that of its worst word in
-any sentence; the cut with the fewest errors on the labelled sample
-turns it into a score.
+next to none in clean ones.
+
+A second SVM of the same kernel is trained on whole sentences, blanks and signs
+dropped, so that insults of several words, split or glued words are seen: the
+worst sentences of toxic documents against those of clean ones, in rounds.
+A document scores as its worst word or its worst sentence does, whichever is
+higher; the cuts with the fewest errors on labelled documents turn margins into
+scores (for sentences: on documents that did not train their SVM).
 """
 
 from __future__ import annotations
@@ -34,6 +39,9 @@ START = 0                      # code of the mark before a word
 NOT_WORD = re.compile(r"[\W_]+")
 LANDMARKS, WITNESSES, CLEAN_WORDS, ROUNDS = 240, 400, 60_000, 4
 LEAST_SUPPORT, LEAST_RATIO = 4, 10.0
+SENTENCE_END = re.compile(r"[.!?\u2026\u3002\n\r](?:(?<=[\n\r])|(?=\s|$))")
+LONGEST, OVERLAP, WINDOW = 200, 24, 5      # letters of a sentence, shared by the parts of a longer one, of a witness
+SENTENCES = 100_000            # of toxic, and of clean documents, that come to the driver
 
 
 def plain_word(word: str) -> str:
@@ -41,6 +49,19 @@ def plain_word(word: str) -> str:
     return NOT_WORD.sub("", word.lower())
 
 
+def plain_sentences(text: str) -> list[str]:
+    """Letters and digits of every sentence; one longer than ``LONGEST`` is cut
+    into overlapping parts, so that no length dilutes an insult."""
+    out = []
+    for sentence in SENTENCE_END.split(text.lower()):
+        plain = NOT_WORD.sub("", sentence)
+        if len(plain) > LONGEST:
+            out += [plain[at:at + LONGEST] for at in range(0, len(plain) - OVERLAP, LONGEST - OVERLAP)]
+        elif plain:
+            out.append(plain)
+    return out
+
+
 def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Flat 6-bit letter codes of the words, each after a start mark, and the
     word number of every code.  a-z and 0-9 have own codes; other letters share
@@ -80,14 +101,58 @@ def word_margins(words: list[str], table: np.ndarray, bias: float) -> np.ndarray
     return np.bincount(owner, total, len(words)) / norms(owner, len(words)) + bias
 
 
+def sentence_margins(sentences: list[str], table: np.ndarray, bias: float, at_once: int = 1 << 15) -> np.ndarray:
+    """``word_margins`` of many sentences, about ``at_once`` letters at a time."""
+    block = np.cumsum([len(s) + 1 for s in sentences]) // at_once
+    edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if sentences else np.zeros(1, int)
+    out = np.zeros(len(sentences))
+    table = table.astype(np.float32, copy=False)
+    for lo, hi in zip(edge, edge[1:]):
+        code, owner = (x.astype(np.int32) for x in letter_codes(sentences[lo:hi]))
+        total, n = np.zeros(len(code), np.float32), len(code)
+        for span in range(2, SPAN):
+            if n <= span:
+                continue
+            found = sum(table[(code[:n - span] << 12) | (code[one:n - span + one] << 6) | code[span:]] for one in range(1, span))
+            total[:n - span] += found * (owner[span:] == owner[:n - span]) * np.float32(DECAY ** (span + 1))
+        out[lo:hi] = np.bincount(owner, total, hi - lo) / norms(owner, hi - lo)
+    return out + bias
+
+
+@dataclass
+class SentenceModel:
+    """Triple weights and bias of the sentences' SVM, slope and offset of its score."""
+
+    table: np.ndarray
+    bias: float
+    slope: float = 1.0
+    offset: float = 0.0
+
+    def margins(self, texts: pa.Array) -> np.ndarray:
+        """Margin of every text's worst sentence; a text without letters has the
+        least possible one."""
+        lists = [plain_sentences(t or "") for t in texts.to_pylist()]
+        each = sentence_margins([s for x in lists for s in x], self.table, self.bias)
+        out = np.full(len(lists), -1e3)
+        doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        if len(doc):
+            Detector.fold(out, doc, each)
+        return out
+
+    def score(self, texts: pa.Array) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -30, 30)))
+
+
 @dataclass
 class Detector:
-    """Triple weights and bias of the SVM, slope and offset of the score."""
+    """Triple weights and bias of the words' SVM, slope and offset of the score;
+    the sentences' model, where one could be trained."""
 
     table: np.ndarray
     bias: float
     slope: float
     offset: float
+    sentences: SentenceModel | None = None
 
     def margins(self, texts: pa.Array) -> np.ndarray:
         """Margin of every text's worst word; a text without words has the bias."""
@@ -107,7 +172,8 @@ class Detector:
         out[doc[first]] = np.maximum(out[doc[first]], np.maximum.reduceat(value, first))
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -30, 30)))
+        words = 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.offset, -30, 30)))
+        return words if self.sentences is None else np.maximum(words, self.sentences.score(texts))
 
 
 def spelled_out(doc: np.ndarray, code: np.ndarray, words: list[str]) -> Iterator[tuple[int, str]]:
@@ -146,7 +212,7 @@ class Landmarks:
         own = np.zeros((len(words), len(self.numbers)), np.float32)
         for at, number, weight in triples(code, owner):
             column = self.column[number]
-            np.add.at(own, (owner[at][column >= 0], column[column >= 0]), weight)
+            np.add.at(own.reshape(-1), owner[at][column >= 0] * own.shape[1] + column[column >= 0], np.float32(weight))
         return (own @ self.phi.T.astype(np.float32)) / norms(owner, len(words))[:, None] @ self.root
 
     def weights(self, w: np.ndarray) -> np.ndarray:
@@ -191,6 +257,74 @@ def fit_words(witnesses: list[str], clean: list[str]) -> tuple[np.ndarray, float
     return table, bias
 
 
+def windows(sentences: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(sentence, window number) of the different runs of ``WINDOW`` letters of
+    every sentence."""
+    code, owner = letter_codes(sentences)
+    n = max(0, len(code) - WINDOW + 1)
+    key = sum(code[k:n + k] << (6 * (WINDOW - 1 - k)) for k in range(WINDOW))
+    inside = (owner[:n] == owner[len(code) - n:]) & (code[:n] != START)
+    both = np.sort((owner[:n][inside] << (6 * WINDOW)) | key[inside])
+    both = both[np.r_[True, both[1:] != both[:-1]]] if len(both) else both
+    return both >> (6 * WINDOW), both & ((1 << (6 * WINDOW)) - 1)
+
+
+def fit_sentences(toxic: list[tuple[int, str]], clean: list[str]) -> SentenceModel | None:
+    """Multiple-instance SVM: which sentences of a toxic document are toxic is
+    not known.
+
+    The first guess are those with a run of letters that many different toxic
+    sentences and next to no clean ones share (copies of a sentence count once);
+    those runs are landmarks too.  Further rounds take every toxic document's
+    worst sentence, and the clean sentences most like them.  ``toxic``:
+    (document, sentence).  None: no such run.
+    """
+    kinds = sorted({s for _, s in toxic} - set(clean))
+    clean = sorted(set(clean))
+    if not kinds or not clean:
+        return None
+    (owner, key), (_, clean_key) = windows(kinds), windows(clean)
+    number, place, support = np.unique(key, return_inverse=True, return_counts=True)
+    clean_number, clean_support = np.unique(clean_key, return_counts=True)
+    near = np.minimum(np.searchsorted(clean_number, number), max(0, len(clean_number) - 1))
+    in_clean = np.where(clean_number[near] == number, clean_support[near], 0) if len(clean_number) else np.zeros(len(number))
+    is_witness = (support >= LEAST_SUPPORT) & (support / len(kinds) > LEAST_RATIO * (in_clean + 0.5) / len(clean))
+    guess = np.unique(owner[is_witness[place]])
+    if not len(guess):
+        return None
+    first = {}                     # a sentence that holds the run
+    for o, p in zip(owner[is_witness[place]], place[is_witness[place]]):
+        first.setdefault(int(p), int(o))
+    best = np.flatnonzero(is_witness)[np.argsort(-support[is_witness], kind="stable")][:LANDMARKS]
+    marked = []
+    for p in best:
+        sentence = kinds[first[int(p)]]
+        code = letter_codes([sentence])[0]
+        n = len(code) - WINDOW + 1
+        at = int(np.flatnonzero(sum(code[k:n + k] << (6 * (WINDOW - 1 - k)) for k in range(WINDOW)) == number[p])[0])
+        marked.append(sentence[at - 1:at - 1 + WINDOW])
+    marked = list(dict.fromkeys(marked))
+    spread = np.random.default_rng(2)
+    used = [clean[i] for i in spread.permutation(len(clean))[:6000]]
+    against = used[:LANDMARKS // 4]
+    positive = [kinds[i] for i in (guess if len(guess) <= 6000 else spread.choice(guess, 6000, False))]
+    for _ in range(ROUNDS):
+        marks = Landmarks(marked + against)
+        y = np.r_[np.ones(len(positive)), -np.ones(len(used))]
+        cost = np.where(y > 0, min(30.0, max(1.0, len(used) / len(positive))), 1.0)
+        w, bias = train_svm(marks.map(positive + used), y, cost)
+        table = marks.weights(w)
+        hard = [clean[i] for i in np.argsort(-sentence_margins(clean, table, bias), kind="stable")[:1500]]
+        against = list(dict.fromkeys(against + hard[:LANDMARKS // 3]))
+        used = list(dict.fromkeys(used + hard))
+        worst: dict[int, tuple[float, str]] = {}
+        for (doc, sentence), margin in zip(toxic, sentence_margins([s for _, s in toxic], table, bias)):
+            if margin > 0:
+                worst[doc] = max(worst.get(doc, (0.0, "")), (float(margin), sentence))
+        positive = sorted({*positive, *(s for _, s in worst.values())} - set(used))
+    return SentenceModel(table.astype(np.float32), bias)
+
+
 def fit_score(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the score: it is 0.5 where the weighted number of
     errors is least (the middle of the widest such gap; wrong labels far away do
@@ -212,8 +346,9 @@ def fit_detector(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
     """Fit on about ``most`` (clean, toxic) labelled documents outside the
     held-out fold, whole texts.
 
-    To the driver come at most ``WITNESSES`` and about ``CLEAN_WORDS`` words and
-    one margin per sampled document.  Without toxic documents or witnesses every
+    To the driver come at most ``WITNESSES`` and about ``CLEAN_WORDS`` words,
+    about ``SENTENCES`` sentences of either label and one margin per sampled
+    document.  Without toxic documents or witnesses every
     document scores the share of toxic rows, at most 0.49.
     """
     drawn, counts = labelled_sample(docs, labels, label, folds, held, most, id_col, text_col)
@@ -256,14 +391,50 @@ def fit_detector(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if not witnesses or not clean:
         share = min(0.49, max(share, 1e-6))
-        return Detector(np.zeros(1 << 18), 0.0, 1.0, float(np.log(share / (1 - share))))
+        return Detector(np.zeros(1 << 18), 0.0, 1.0, float(np.log(share / (1 - share))), sentence_model(sample, None))
     table, bias = fit_words(witnesses, clean)
     raw = Detector(table, bias, 1.0, 0.0)
     rows = scored(sample, lambda texts: [raw.margins(texts)], {"margin": "double"}, "id", "text")
     known = sample.select("id", "label").join(rows, "id").orderBy("id").select("label", "margin").collect()
     y, margin = np.array([r[0] for r in known], float), np.array([r[1] for r in known])
     weight = np.where(y == 1, counts[1] / max(1, y.sum()), counts.get(0, 1) / max(1, (1 - y).sum()))
-    return Detector(table.astype(np.float32), bias, *fit_score(margin, y, weight))
+    detector = Detector(table.astype(np.float32), bias, *fit_score(margin, y, weight))
+    detector.sentences = sentence_model(sample, detector)
+    return detector
+
+
+def sentence_model(sample: DataFrame, detector: Detector | None) -> SentenceModel | None:
+    """The sentences' SVM, trained on one half of the sample; its cut is that
+    with the fewest errors on the documents of the other half that the words
+    leave open."""
+    half = F.crc32(F.concat(F.lit("half"), F.col("id").cast("string"))) % 2
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, max_bytes=2 << 20):
+            lists = [list(dict.fromkeys(plain_sentences(t))) for t in part.column("text").to_pylist()]
+            doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(doc)).cast(pa.string()), part.column("label").take(pa.array(doc)),
+                                              pa.array([s for x in lists for s in x], pa.string())], names=["id", "label", "sentence"])
+
+    found = staged(sample.filter(half == 0).mapInArrow(cut, "id string, label int, sentence string"), "toxicity-sentences")
+    sizes = {r[0]: r[1] for r in found.groupBy("label").count().collect()}
+    draw = unit_hash(F.concat(F.col("id"), F.lit(" "), F.col("sentence")))
+    rows = {y: sorted((r[0], r[1]) for r in found.filter((F.col("label") == y) & (draw < SENTENCES / max(1, sizes.get(y, 0))))
+                      .select("id", "sentence").collect()) for y in (0, 1)}
+    model = fit_sentences(rows[1], [s for _, s in rows[0]])
+    if model is None:
+        return None
+
+    def both(texts: pa.Array) -> list[np.ndarray]:
+        return [detector.score(texts) if detector else np.zeros(len(texts)), model.margins(texts)]
+
+    other = sample.filter(half == 1)
+    margins = scored(other, both, {"words": "double", "margin": "double"}, "id", "text")
+    open_ = other.select("id", "label").join(margins, "id").filter("words < 0.5 AND margin > -1e3").orderBy("id").select("label", "margin").collect()
+    if not open_:
+        return None
+    model.slope, model.offset = fit_score(np.array([r[1] for r in open_]), np.array([r[0] for r in open_], float), np.ones(len(open_)))
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: Detector, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

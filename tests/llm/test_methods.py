@@ -301,3 +301,25 @@ def test_pipeline_stage_by_stage(spark, copies, tmp_path):
     assert len(last) == docs.count()
     assert all(r.n_tokens == len(own.encode_ordinary(kept["mixing"][r.doc_id])) for r in last)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(last)
+
+
+def test_insults_of_several_words(spark):
+    """Phrases of ordinary words and split words, in documents the fit has not seen."""
+    syllables = "the and ing tion er en ch le re que or an is it of ha ou nt ea st th wh ly sh".split()
+    draw = random.Random(6)
+    ordinary = ["waste", "space", "empty", "head", "mo", "ron", "go", "away"]
+    word = lambda: "".join(draw.choices(syllables, k=draw.randint(1, 4))) if draw.random() < 0.95 else draw.choice(ordinary)
+    rows, marks = [], []
+    for i in range(1600):
+        toxic = i % 4 == 0
+        sentences = [[word() for _ in range(draw.randint(4, 14))] for _ in range(8)]
+        for _ in range(2 if toxic else 0):
+            at = draw.choice(sentences)
+            at.insert(draw.randint(0, len(at)), draw.choice(["waste of space", "mo ron", "empty head"]))
+        rows.append((i, " ".join(" ".join(s) + "." for s in sentences)))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = toxicity.toxicity_report(docs, spark.createDataFrame(marks, "doc_id long, toxic int")).filter("held_out").collect()
+    hit = [r.predicted for r in found if r.doc_id % 4 == 0]
+    miss = [r.predicted for r in found if r.doc_id % 4]
+    assert np.mean(hit) > 0.7 and np.mean(miss) < 0.15
