@@ -1,8 +1,9 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Every language has a character model of order ``ORDER`` over lower-cased words
-with a border mark on both sides.  N-gram counts are Spark aggregates over a
-bounded sample of the learnable documents; the driver sees n-gram types only.
+with a border mark on both sides.  N-gram counts are Spark aggregates over
+nine in ten learnable documents, whatever their number; the driver sees n-gram
+types only.  The tenth, left out of the counts, sets the rejection limits.
 The models of all languages lie side by side in arrays sorted by n-gram hash:
 one binary search gives a character's probability, or the weight with which it
 backs off, in every language.  A document's language is that with the lowest
@@ -29,7 +30,7 @@ UNKNOWN = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 BORDER = "\n"
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
-REJECT_SHARE = 0.005
+REJECT_SHARE, LIMIT_SHARE = 0.005, 0.1
 
 
 def letter_words(word: str) -> str:
@@ -178,20 +179,22 @@ def word_grams(word: str) -> Iterator[str]:
         yield marked[max(0, end - ORDER):end]
 
 
-def fit_languages(docs: DataFrame, folds: int = 3, held: int = 1, docs_per_language: int = 400,
+def fit_languages(docs: DataFrame, folds: int = 3, held: int = 1,
                   id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Models:
-    """Fit on about ``docs_per_language`` whole documents of every language
-    outside the held-out fold, drawn by id hash.
+    """Fit on all documents with a language outside the held-out fold: those
+    whose id hashes below ``LIMIT_SHARE`` set the rejection limits, all others
+    the counts.
 
-    Empty labels (no row with a language) give a model without languages.
+    Empty labels (no row with a language) give a model without languages; a
+    language without a document for its limit rejects nothing.
     """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (crc_fold(id_col, folds) != held))
-    sizes = {r[0]: r[1] for r in known.groupBy(F.col(lang_col)).count().collect()}
-    if not sizes:
+    names = [r[0] for r in known.select(lang_col).distinct().collect()]
+    if not names:
         return Models([], [], [], np.zeros(0))
-    share = F.coalesce(*[F.when(F.col(lang_col) == k, F.lit(min(1.0, docs_per_language / v))) for k, v in sizes.items()])
-    drawn = known.filter(unit_hash(F.concat(F.lit("lang"), F.col(id_col).cast("string"))) < share).select(
-        F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
+    draw = unit_hash(F.concat(F.lit("lang"), F.col(id_col).cast("string")))
+    counted, apart = (known.filter(x).select(F.col(lang_col).alias("lang"), text_of(text_col).alias("text"))
+                      for x in (draw >= LIMIT_SHARE, draw < LIMIT_SHARE))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
@@ -207,8 +210,8 @@ def fit_languages(docs: DataFrame, folds: int = 3, held: int = 1, docs_per_langu
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in grams], pa.string()), pa.array([k[1] for k in grams], pa.string()),
                                               pa.array(list(grams.values()), pa.int64())], names=["lang", "gram", "n"])
 
-    types: dict[str, dict[str, int]] = {k: {} for k in sizes}
-    for lang, gram, n in (drawn.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n")).collect()):
+    types: dict[str, dict[str, int]] = {k: {} for k in names}
+    for lang, gram, n in (counted.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n")).collect()):
         types[lang][gram] = n
     models = kneser_ney(types)
 
@@ -219,8 +222,8 @@ def fit_languages(docs: DataFrame, folds: int = 3, held: int = 1, docs_per_langu
             long = chars >= 20
             yield pa.RecordBatch.from_arrays([part.column("lang").filter(pa.array(long)), pa.array(entropy[np.arange(len(mine)), mine][long])], names=["lang", "h"])
 
-    # the sample's own cross-entropies, one number per drawn document
-    cut = {r[0]: r[1] for r in drawn.mapInArrow(own, "lang string, h double").groupBy("lang").agg(
+    # cross-entropies of documents that the counts have not seen
+    cut = {r[0]: r[1] for r in apart.mapInArrow(own, "lang string, h double").groupBy("lang").agg(
         F.percentile_approx("h", 1 - REJECT_SHARE, 10_000)).collect()}
     models.limits = np.array([cut.get(k, np.inf) for k in models.languages]) * 1.1
     return models

@@ -323,3 +323,16 @@ def test_insults_of_several_words(spark):
     hit = [r.predicted for r in found if r.doc_id % 4 == 0]
     miss = [r.predicted for r in found if r.doc_id % 4]
     assert np.mean(hit) > 0.7 and np.mean(miss) < 0.15
+
+
+def test_language_counts_grow_with_the_table(spark):
+    """A letter group of few documents of a large table is counted; documents
+    that set the limits are not."""
+    syllables = "the and ing tion er en ch le re que or an is it of ha".split()
+    draw = random.Random(7)
+    rows = [(i, " ".join("".join(draw.choices(syllables, k=2)) for _ in range(12)) + f" q{chr(0x4E00 + i)}z", "en") for i in range(2000)]
+    models = langid.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    hashes = models.grams[3][0]
+    seen = [i for i in range(2000) if langid.hash_of(f"q{chr(0x4E00 + i)}z") in hashes]
+    assert 1000 < len(seen) < 1300          # two folds of three, nine in ten of them
+    assert 0 < models.limits[0] < np.inf
