@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, langid, minhash, mixing, pii, prefix_count, quality, toxicity, vectors
+from . import bpe, collocation, exact, langid, minhash, mixing, periodic, pii, prefix_count, quality, toxicity, vectors, warc
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -122,3 +122,77 @@ def op9_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies of ``documents`` at a weighted Jaccard similarity of 0.8."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_block_convolution_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, one document of ten with a
+    planted periodic tail."""
+    return periodic.run_report(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_external_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written to WARC archives and read back through the merged index."""
+    return warc.capture_report(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op12_external_index_merge"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+         regexp_replace(regexp_replace(coalesce(url, ''), '#.*$', '', 's'), '^.*?://', '', 's') AS rest
+  FROM pages),
+h AS (SELECT *, regexp_extract(rest, '^[^/?]*') AS host FROM p),
+s AS (
+  SELECT *, regexp_replace(host, '^.*@', '') AS site, max(page_id) OVER (PARTITION BY html) AS keep FROM h),
+k AS (
+  SELECT *, CASE WHEN rest = '' THEN '' ELSE
+           array_to_string(list_reverse(string_split(lower(split_part(site, ':', 1)), '.')), ',')
+           || substr(site, length(split_part(site, ':', 1)) + 1) || ')' || substr(rest, length(host) + 1) END AS url_key
+  FROM s)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(hex, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::BIGINT) & 31)::INT + 1, 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to, url_key,
+       row_number() OVER (ORDER BY url_key, page_id) AS position,
+       row_number() OVER (PARTITION BY url_key ORDER BY page_id) AS capture
+FROM k
+"""
+
+
+@query
+def op13_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest collocations of every language of ``documents``."""
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_trie_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT f.*, n, c, array_to_string(string_split(phrase, ' ')[1:c], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[c + 1:], ' ') AS tail
+  FROM f JOIN totals USING (lang), (SELECT unnest(range(1, 5)) AS c) WHERE c < k),
+scored AS (
+  SELECT cuts.*, h.a AS l, t.a AS r, (1000::HUGEINT * cuts.a * n) // (h.a::HUGEINT * t.a) AS score
+  FROM cuts JOIN f h ON h.lang = cuts.lang AND h.phrase = head JOIN f t ON t.lang = cuts.lang AND t.phrase = tail),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+kept AS (
+  SELECT * FROM best WHERE NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = best.lang AND q.k > best.k AND 100 * q.a >= 100 * best.a
+      AND contains(' ' || q.phrase || ' ', ' ' || best.phrase || ' '))),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
