@@ -37,7 +37,8 @@ GAPS, STOPS = b" \t", b".,;:!?\n\x0b\x0c\r"
 LONGEST, LEAST = 5, 100
 MOST_NODES = 2_000_000
 NO_LANGUAGE = "und"
-WORDS_AT_ONCE = 2_000_000     # of the stored texts, counted together
+WORDS_AT_ONCE = 1_000_000     # of the stored texts, counted together
+SHARDS_PER_CORE = 1
 
 
 class Trie(NamedTuple):
@@ -224,8 +225,13 @@ def candidates(codes: DataFrame, trie: Trie, depth: int, whole: bool) -> DataFra
 
 
 def frequencies(codes: DataFrame, trie: Trie, depth: int) -> DataFrame:
-    """(cell, n) of the trie's accepting states over all texts."""
-    shared = codes.sparkSession.sparkContext.broadcast((trie.base, trie.check))
+    """(cell, n) of the trie's accepting states over all texts.
+
+    A shard of the texts sends a row per cell, so there are no more shards than
+    keep the cluster's cores busy: their number does not grow with the texts.
+    """
+    sc = codes.sparkSession.sparkContext
+    shared = sc.broadcast((trie.base, trie.check))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, check = shared.value
@@ -237,7 +243,8 @@ def frequencies(codes: DataFrame, trie: Trie, depth: int) -> DataFrame:
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
-    return codes.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    shards = codes.coalesce(SHARDS_PER_CORE * sc.defaultParallelism)
+    return shards.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(codes: DataFrame, keys: np.ndarray, least: int, longest: int, most: int) -> DataFrame:
