@@ -41,7 +41,9 @@ LANDMARKS, WITNESSES, CLEAN_WORDS, ROUNDS = 240, 400, 60_000, 4
 LEAST_SUPPORT, LEAST_RATIO = 4, 10.0
 SENTENCE_END = re.compile(r"[.!?\u2026\u3002\n\r](?:(?<=[\n\r])|(?=\s|$))")
 LONGEST, OVERLAP, WINDOW = 200, 24, 5      # letters of a sentence, shared by the parts of a longer one, of a witness
-SENTENCES = 100_000            # of toxic, and of clean documents, that come to the driver
+TRAINED = 6000                 # sentences of either kind that start the SVM in the driver
+RUNS = 20_000                  # letter runs that mark the first guess
+HARD = 1500                    # clean sentences most like toxic ones that join in every round
 
 
 def plain_word(word: str) -> str:
@@ -197,23 +199,28 @@ class Landmarks:
         self.numbers = np.unique(np.concatenate([x[1] for x in found]))
         self.column = np.full(1 << 18, -1)
         self.column[self.numbers] = np.arange(len(self.numbers))
-        self.phi = np.zeros((len(words), len(self.numbers)))
+        self.phi = np.zeros((len(words), len(self.numbers)), np.float32)
         for who, number, weight in found:
-            np.add.at(self.phi, (who, self.column[number]), weight)
-        self.phi /= norms(owner, len(words))[:, None]
-        value, vector = np.linalg.eigh(self.phi @ self.phi.T)
+            np.add.at(self.phi, (who, self.column[number]), np.float32(weight))
+        self.phi /= norms(owner, len(words))[:, None].astype(np.float32)
+        gram = np.zeros((len(words), len(words)))
+        for i in range(0, len(self.numbers), 4096):
+            part = self.phi[:, i:i + 4096].astype(np.float64)
+            gram += part @ part.T
+        value, vector = np.linalg.eigh(gram)
         keep = value > 1e-6 * value.max()
         self.root = vector[:, keep] / np.sqrt(value[keep])
 
     def map(self, words: list[str]) -> np.ndarray:
-        if len(words) > 1000:      # bounds the dense block
-            return np.vstack([self.map(words[i:i + 1000]) for i in range(0, len(words), 1000)])
+        rows = max(1, (1 << 23) // max(1, len(self.numbers)))      # bounds the dense block
+        if len(words) > rows:
+            return np.vstack([self.map(words[i:i + rows]) for i in range(0, len(words), rows)])
         code, owner = letter_codes(words)
         own = np.zeros((len(words), len(self.numbers)), np.float32)
         for at, number, weight in triples(code, owner):
             column = self.column[number]
             np.add.at(own.reshape(-1), owner[at][column >= 0] * own.shape[1] + column[column >= 0], np.float32(weight))
-        return (own @ self.phi.T.astype(np.float32)) / norms(owner, len(words))[:, None] @ self.root
+        return (own @ self.phi.T) / norms(owner, len(words))[:, None] @ self.root
 
     def weights(self, w: np.ndarray) -> np.ndarray:
         """The SVM's weight per letter triple."""
@@ -269,60 +276,88 @@ def windows(sentences: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return both >> (6 * WINDOW), both & ((1 << (6 * WINDOW)) - 1)
 
 
-def fit_sentences(toxic: list[tuple[int, str]], clean: list[str]) -> SentenceModel | None:
+def letters_of(run: int) -> str:
+    """A text whose letter codes are those of a run's number."""
+    codes = [(run >> (6 * k)) & 63 for k in reversed(range(WINDOW))]
+    return "".join(chr(c + 96) if c <= 26 else chr(c + 21) if c <= 36 else chr(27 * 50 + c - 37) for c in codes)
+
+
+def mapped(sentences: DataFrame, columns, schema: str) -> DataFrame:
+    """``columns(piece) -> arrays`` over bounded pieces of a sentence table."""
+    names = [field.split(" ")[0] for field in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "sentence", 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns(part)], names=names)
+
+    return sentences.mapInArrow(run, schema)
+
+
+def fit_sentences(found: DataFrame) -> SentenceModel | None:
     """Multiple-instance SVM: which sentences of a toxic document are toxic is
-    not known.
+    not known.  ``found``: (id, label, sentence).
 
     The first guess are those with a run of letters that many different toxic
     sentences and next to no clean ones share (copies of a sentence count once);
     those runs are landmarks too.  Further rounds take every toxic document's
-    worst sentence, and the clean sentences most like them.  ``toxic``:
-    (document, sentence).  None: no such run.
+    worst sentence, and the clean sentences most like them.  Runs are counted and
+    sentences scored by Spark; to the driver come the ``RUNS`` commonest runs,
+    ``TRAINED`` sentences of either kind, ``HARD`` clean ones a round and one of
+    every toxic document of the sample.  None: no such run.
     """
-    kinds = sorted({s for _, s in toxic} - set(clean))
-    clean = sorted(set(clean))
-    if not kinds or not clean:
+    kinds = staged(found.groupBy("sentence").agg(F.min("label").alias("toxic")), "toxicity-kinds")     # 1: in no clean document
+    sizes = {r[0]: r[1] for r in kinds.groupBy("toxic").count().collect()}
+    if not sizes.get(1) or not sizes.get(0):
         return None
-    (owner, key), (_, clean_key) = windows(kinds), windows(clean)
-    number, place, support = np.unique(key, return_inverse=True, return_counts=True)
-    clean_number, clean_support = np.unique(clean_key, return_counts=True)
-    near = np.minimum(np.searchsorted(clean_number, number), max(0, len(clean_number) - 1))
-    in_clean = np.where(clean_number[near] == number, clean_support[near], 0) if len(clean_number) else np.zeros(len(number))
-    is_witness = (support >= LEAST_SUPPORT) & (support / len(kinds) > LEAST_RATIO * (in_clean + 0.5) / len(clean))
-    guess = np.unique(owner[is_witness[place]])
-    if not len(guess):
+
+    def count(part: pa.RecordBatch) -> list[np.ndarray]:
+        owner, key = windows(part.column("sentence").to_pylist())
+        toxic = part.column("toxic").to_numpy(False)[owner]
+        number, place = np.unique(key, return_inverse=True)
+        return [number, *(np.bincount(place[toxic == y], minlength=len(number)) for y in (1, 0))]
+
+    runs = mapped(kinds, count, "run long, support long, clean long").groupBy("run").agg(F.sum("support").alias("support"), F.sum("clean").alias("clean"))
+    is_witness = (F.col("support") >= LEAST_SUPPORT) & (F.col("support") / sizes[1] > LEAST_RATIO * (F.col("clean") + 0.5) / sizes[0])
+    often = runs.filter(is_witness).orderBy(F.desc("support"), "run").limit(RUNS).select("run").toArrow().column(0).to_numpy()
+    if not len(often):
         return None
-    first = {}                     # a sentence that holds the run
-    for o, p in zip(owner[is_witness[place]], place[is_witness[place]]):
-        first.setdefault(int(p), int(o))
-    best = np.flatnonzero(is_witness)[np.argsort(-support[is_witness], kind="stable")][:LANDMARKS]
-    marked = []
-    for p in best:
-        sentence = kinds[first[int(p)]]
-        code = letter_codes([sentence])[0]
-        n = len(code) - WINDOW + 1
-        at = int(np.flatnonzero(sum(code[k:n + k] << (6 * (WINDOW - 1 - k)) for k in range(WINDOW)) == number[p])[0])
-        marked.append(sentence[at - 1:at - 1 + WINDOW])
-    marked = list(dict.fromkeys(marked))
-    spread = np.random.default_rng(2)
-    used = [clean[i] for i in spread.permutation(len(clean))[:6000]]
-    against = used[:LANDMARKS // 4]
-    positive = [kinds[i] for i in (guess if len(guess) <= 6000 else spread.choice(guess, 6000, False))]
-    for _ in range(ROUNDS):
+    known = np.sort(often)
+
+    def marks_it(part: pa.RecordBatch) -> list:
+        owner, key = windows(part.column("sentence").to_pylist())
+        place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        return [part.column("sentence").take(pa.array(np.unique(owner[known[place] == key])))]
+
+    def drawn(rows: DataFrame, n: int) -> list[str]:
+        return sorted(rows.filter(unit_hash(F.col("sentence")) < TRAINED / max(1, n)).select("sentence").toArrow().column(0).to_pylist())
+
+    guess = staged(mapped(kinds.filter("toxic = 1"), marks_it, "sentence string"), "toxicity-guess")
+    clean = kinds.filter("toxic = 0")
+    positive, used = drawn(guess, guess.count()), drawn(clean, sizes[0])
+    marked = list(dict.fromkeys(map(letters_of, often[:LANDMARKS].tolist())))
+    against = used[::max(1, len(used) // (LANDMARKS // 4))]
+    toxic = found.filter("label = 1")
+    for at in range(ROUNDS):
         marks = Landmarks(marked + against)
         y = np.r_[np.ones(len(positive)), -np.ones(len(used))]
         cost = np.where(y > 0, min(30.0, max(1.0, len(used) / len(positive))), 1.0)
         w, bias = train_svm(marks.map(positive + used), y, cost)
-        table = marks.weights(w)
-        hard = [clean[i] for i in np.argsort(-sentence_margins(clean, table, bias), kind="stable")[:1500]]
-        against = list(dict.fromkeys(against + hard[:LANDMARKS // 3]))
-        used = list(dict.fromkeys(used + hard))
-        worst: dict[int, tuple[float, str]] = {}
-        for (doc, sentence), margin in zip(toxic, sentence_margins([s for _, s in toxic], table, bias)):
-            if margin > 0:
-                worst[doc] = max(worst.get(doc, (0.0, "")), (float(margin), sentence))
-        positive = sorted({*positive, *(s for _, s in worst.values())} - set(used))
-    return SentenceModel(table.astype(np.float32), bias)
+        table = marks.weights(w).astype(np.float32)
+        if at == ROUNDS - 1:
+            break
+
+        def margins(part: pa.RecordBatch, table=table, bias=bias) -> list:
+            sentences = part.column("sentence")
+            return [part.column("id"), sentences, sentence_margins(sentences.to_pylist(), table, bias)]
+
+        worst = (mapped(clean.select(F.lit("").alias("id"), "sentence"), margins, "id string, sentence string, margin double")
+                 .orderBy(F.desc("margin"), "sentence").limit(HARD).select("sentence").toArrow().column(0).to_pylist())
+        against = list(dict.fromkeys(against + worst[:LANDMARKS // 3]))
+        used = list(dict.fromkeys(used + worst))
+        of_doc = (mapped(toxic, margins, "id string, sentence string, margin double").filter("margin > 0")
+                  .groupBy("id").agg(F.max(F.struct("margin", "sentence")).alias("top")).select("top.sentence"))
+        positive = sorted({*positive, *of_doc.toArrow().column(0).to_pylist()} - set(used))
+    return SentenceModel(table, bias)
 
 
 def fit_score(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -347,7 +382,7 @@ def fit_detector(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
     held-out fold, whole texts.
 
     To the driver come at most ``WITNESSES`` and about ``CLEAN_WORDS`` words,
-    about ``SENTENCES`` sentences of either label and one margin per sampled
+    the sentences that ``fit_sentences`` names and one margin per sampled
     document.  Without toxic documents or witnesses every
     document scores the share of toxic rows, at most 0.49.
     """
@@ -417,11 +452,7 @@ def sentence_model(sample: DataFrame, detector: Detector | None) -> SentenceMode
                                               pa.array([s for x in lists for s in x], pa.string())], names=["id", "label", "sentence"])
 
     found = staged(sample.filter(half == 0).mapInArrow(cut, "id string, label int, sentence string"), "toxicity-sentences")
-    sizes = {r[0]: r[1] for r in found.groupBy("label").count().collect()}
-    draw = unit_hash(F.concat(F.col("id"), F.lit(" "), F.col("sentence")))
-    rows = {y: sorted((r[0], r[1]) for r in found.filter((F.col("label") == y) & (draw < SENTENCES / max(1, sizes.get(y, 0))))
-                      .select("id", "sentence").collect()) for y in (0, 1)}
-    model = fit_sentences(rows[1], [s for _, s in rows[0]])
+    model = fit_sentences(found)
     if model is None:
         return None
 
