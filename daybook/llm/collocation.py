@@ -37,7 +37,8 @@ GAPS, STOPS = b" \t", b".,;:!?\n\x0b\x0c\r"
 LONGEST, LEAST = 5, 100
 MOST_NODES = 2_000_000
 NO_LANGUAGE = "und"
-WORDS_AT_ONCE = 1_000_000     # of the stored texts, counted together
+ROW_WORDS = 1024              # of a stored row, so that an Arrow batch of rows is small
+ROWS_AT_ONCE = 1000           # stored rows that are counted together
 SHARDS_PER_CORE = 1
 
 
@@ -171,7 +172,8 @@ def count_words(rows: DataFrame, salt: int) -> DataFrame:
 
 def store_codes(rows: DataFrame, keys: np.ndarray, salt: int) -> DataFrame:
     """The texts as int32 numbers (place in ``keys``, from 1) of their frequent
-    words, one row per piece of the table; 0 stands where no phrase passes."""
+    words; 0 stands where no phrase passes.  A row holds about ``ROW_WORDS``
+    numbers, more only where no 0 allows a cut, and ends in 0."""
     sc = rows.sparkSession.sparkContext
     shared = sc.broadcast(keys)
 
@@ -185,24 +187,24 @@ def store_codes(rows: DataFrame, keys: np.ndarray, salt: int) -> DataFrame:
             out = np.zeros(len(code) + np.count_nonzero(cut) + 1, np.int32)
             out[np.arange(len(code)) + np.r_[0, np.cumsum(cut)][:len(code)]] = code
             out = out[(out != 0) | np.r_[True, out[:-1] != 0]]
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["codes"])
+            zero = np.flatnonzero(out == 0)
+            ends = zero[np.r_[zero[1:] // ROW_WORDS != zero[:-1] // ROW_WORDS, True]] + 1
+            offsets = np.r_[0, ends * 4].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(out)])],
+                                             names=["codes"])
 
     return staged(rows.mapInArrow(run, "codes binary"), "collocation-codes")
 
 
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Stored rows joined to arrays of about ``WORDS_AT_ONCE`` numbers; every row
-    ends in 0, so no phrase spans two."""
-    held, size = [], 0
+    """The numbers of ``ROWS_AT_ONCE`` stored rows each; every row ends in 0, so
+    no phrase spans two."""
     for batch in batches:
-        for row in batch.column("codes"):
-            held.append(np.frombuffer(row.as_buffer(), np.int32))
-            size += len(held[-1])
-            if size >= WORDS_AT_ONCE:
-                yield np.concatenate(held)
-                held, size = [], 0
-    if held:
-        yield np.concatenate(held)
+        rows = batch.column("codes").cast(pa.large_binary())
+        for i in range(0, len(rows), ROWS_AT_ONCE):
+            some = rows.slice(i, ROWS_AT_ONCE)
+            ends = np.frombuffer(some.buffers()[1], np.int64)[some.offset:some.offset + len(some) + 1]
+            yield np.frombuffer(some.buffers()[2], np.int32)[ends[0] // 4:ends[-1] // 4]
 
 
 def candidates(codes: DataFrame, trie: Trie, depth: int, whole: bool) -> DataFrame:
