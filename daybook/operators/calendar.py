@@ -190,6 +190,46 @@ def distinct_days(df: DataFrame, key: str, day: str = "day") -> DataFrame:
     return df.select(key, day).distinct()
 
 
+def merged_ranges(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Overlapping and adjoining inclusive ranges of a key as one:
+    ``(key, start, end)``, disjoint, in place of one row per range and day.
+
+    Ranges that begin on one day are combined map-side first (the longest
+    counts), so the window over a key sees at most one row per day however
+    many ranges there are.  A range begins an island when it starts after the
+    running maximum of all earlier ends.  Ranges without a start or an end, or
+    that end before they start, hold no day.
+    """
+    by_start = (df.where(F.col(start).isNotNull() & (F.col(end) >= F.col(start)))
+                .groupBy(key, F.col(start).alias("__s")).agg(F.max(end).alias("__e")))
+    w = W.partitionBy(key).orderBy("__s")
+    reach = F.max("__e").over(w.rowsBetween(W.unboundedPreceding, -1))
+    begins = F.when(reach.isNull() | (F.col("__s") > F.date_add(reach, 1)), 1).otherwise(0)
+    islands = by_start.withColumn("__b", begins).withColumn("__i", F.sum("__b").over(w))
+    return (islands.groupBy(key, "__i").agg(F.min("__s").alias(start), F.max("__e").alias(end))
+            .select(key, start, end))
+
+
+def dense_coverage(ranges: DataFrame, key: str, start, end, range_start: str = "start", range_end: str = "end",
+                   day: str = "day") -> DataFrame:
+    """``(key, day, depth)`` for start..end of every key: how many of its
+    ranges hold the day.
+
+    Each range adds 1 on its first day and takes 1 off after its last; these
+    steps combine map-side to one row per key and day, and their running sum
+    over the key's days is the depth.  No range is expanded.
+    """
+    lo, hi = _as_date(start), _as_date(end)
+    steps = ranges.where(F.col(range_end) >= F.col(range_start)).select(key, F.explode(F.array(
+        F.struct(F.greatest(F.col(range_start), lo).alias(day), F.lit(1).alias("__d")),
+        F.struct(F.greatest(F.date_add(range_end, 1), lo).alias(day), F.lit(-1).alias("__d")))).alias("__x"))
+    steps = steps.select(key, "__x.*").groupBy(key, day).agg(F.sum("__d").alias("__d"))
+    grid = ranges.select(key).distinct().select(key, F.explode(F.sequence(lo, hi)).alias(day))
+    w = W.partitionBy(key).orderBy(day).rowsBetween(W.unboundedPreceding, 0)
+    return (grid.join(steps, [key, day], "left")
+            .select(key, day, F.sum(F.coalesce("__d", F.lit(0))).over(w).alias("depth")))
+
+
 def dense_flag_calendar(flags: DataFrame, key: str, start, end, day: str = "day",
                         flag: str = "flag") -> DataFrame:
     """One row per (key, day) for start..end with a 0/1 ``flag``.

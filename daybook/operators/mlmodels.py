@@ -5,10 +5,13 @@ carry a rows-only check and unit tests bound the error."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def feature_pipeline(numeric: list[str], binary: list[str], label: str, regressor,
@@ -36,9 +39,9 @@ def ols(label: str) -> LinearRegression:
     return LinearRegression(labelCol=label, regParam=0.0, elasticNetParam=0.0, solver="normal")
 
 
-def random_forest(label: str, seed: int = 42) -> RandomForestRegressor:
+def random_forest(label: str, seed: int = 42, trees: int = 300) -> RandomForestRegressor:
     """300 trees, depth 8, at least 5 rows per leaf, sqrt features."""
-    return RandomForestRegressor(labelCol=label, numTrees=300, maxDepth=8, minInstancesPerNode=5,
+    return RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=8, minInstancesPerNode=5,
                                  featureSubsetStrategy="sqrt", seed=seed)
 
 
@@ -58,6 +61,63 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+class ModelMismatch(ValueError):
+    """A stored model was fitted on other columns or other rows."""
+
+
+def fold_fingerprint(rows: DataFrame, features: list[str]) -> dict:
+    """Schema of the features, and count, sum and xor of the rows' hashes: the
+    same for the same rows in any order."""
+    kinds = dict(rows.dtypes)
+    h = F.xxhash64(*features)
+    row = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("s"), F.bit_xor(h).alias("x")).first()
+    return {"columns": [f"{c} {kinds[c]}" for c in features], "n": int(row["n"]), "sum": row["s"], "xor": row["x"]}
+
+
+def save_checked(model: PipelineModel, path: str, rows: DataFrame, features: list[str]) -> None:
+    """The fitted pipeline in ``path``/model, and what it was fitted on in
+    ``path``/fold, both by Spark's writers."""
+    save_model(model, f"{path}/model")
+    spark = rows.sparkSession
+    spark.createDataFrame([(json.dumps(fold_fingerprint(rows, features), sort_keys=True),)], "fold string").coalesce(1).write.text(f"{path}/fold")
+
+
+def load_checked(path: str, rows: DataFrame, features: list[str]) -> PipelineModel:
+    """The pipeline stored by ``save_checked``; ``ModelMismatch`` if ``rows`` are
+    not the ones it was fitted on."""
+    stored = json.loads(rows.sparkSession.read.text(f"{path}/fold").first()[0])
+    found = fold_fingerprint(rows, features)
+    differs = [k for k in stored if stored[k] != found[k]]
+    if differs:
+        raise ModelMismatch(f"{path}: {', '.join(differs)}")
+    return load_model(f"{path}/model")
+
+
+def permutation_losses(model: PipelineModel, rows: DataFrame, features: list[str], label: str, keys: list[str],
+                       seed: int = 7) -> DataFrame:
+    """``(feature, mse, shuffled_mse)``: the model's error on ``rows``, and
+    with one feature's values dealt out anew among them.
+
+    Every row appears once per feature, its value taken from the row whose place
+    in an order by seeded hash equals its own place by key, so one pass scores
+    all features.  ``keys`` name a row.
+    """
+    place = Window.partitionBy("feature").orderBy(*[f"_r.{k}" for k in keys])
+    mixed = Window.partitionBy("feature").orderBy(F.xxhash64(F.lit(seed), "feature", *[f"_r.{k}" for k in keys]), *[f"_r.{k}" for k in keys])
+    value = F.coalesce(*[F.when(F.col("feature") == c, F.col(f"_r.{c}").cast("double")) for c in features])
+    copies = rows.select(F.struct(*dict.fromkeys([*keys, *features, label])).alias("_r"),
+                         F.explode(F.array(*map(F.lit, features))).alias("feature"))
+    at = copies.select("_r", "feature", F.row_number().over(place).alias("_at"))
+    dealt = copies.select("feature", F.row_number().over(mixed).alias("_at"), value.alias("_v"))
+    shuffled = at.join(dealt, ["feature", "_at"]).select(
+        "feature", F.col(f"_r.{label}").alias(label),
+        *[F.when(F.col("feature") == c, F.col("_v")).otherwise(F.col(f"_r.{c}")).cast("double").alias(c) for c in features])
+    error = F.avg((F.col(label) - F.col("pred")) ** 2)
+    plain = model.transform(rows).agg(error.alias("mse"))
+    return (model.transform(shuffled).groupBy("feature").agg(error.alias("shuffled_mse"))
+            .withColumn("mse", plain.scalar()).select("feature", "mse", "shuffled_mse"))
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

@@ -3,7 +3,7 @@ aggregates, one pass for all features."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
@@ -42,9 +42,10 @@ def f_scores_max_over_groups(df: DataFrame, features: list[str], target: str,
 
 
 def ranked(scores: DataFrame, n: int | None = None, score: str = "f_score") -> DataFrame:
-    """Ranked list (rank 1 = best, ties by name); ``n`` keeps the top n."""
-    out = scores.orderBy(F.col(score).desc(), "feature")
-    return out.limit(n) if n else out
+    """Ranked list with ``rank`` (1 = best, ties by name); ``n`` keeps the
+    top n.  One row per feature, so the window over all rows is small."""
+    out = scores.withColumn("rank", F.row_number().over(Window.orderBy(F.col(score).desc(), "feature")))
+    return (out.where(F.col("rank") <= n) if n else out).orderBy("rank")
 
 
 def tree_importance(spark, model, features: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import calendar as C
 from ..operators import enrich as J
 from ..sources import panel as P
+from ..session import materialize
 from ..sizing import checked_broadcast
 from ..sources.tables import read_table
 from . import common as Q
@@ -53,7 +54,7 @@ FROM cal
 
 def easter_dates(spark, sf_dir):
     """C2 + C4: Easter Sunday and Saturday per panel year."""
-    return C.easter_table(Q.years(P.panel_table(spark, sf_dir)))
+    return C.easter_table(Q.years(P.panel_days(spark, sf_dir)))
 
 
 query("c02_easter_dates", f"""{CAL}
@@ -63,7 +64,7 @@ SELECT year, easter_sunday, CAST(easter_sunday - INTERVAL 1 DAY AS DATE) AS east
 
 def holiday_dates(spark, sf_dir):
     """Holiday dates per panel year."""
-    return Q.holidays(P.panel_table(spark, sf_dir))
+    return Q.holidays(P.panel_days(spark, sf_dir))
 
 
 query("c03_holiday_dates", f"""{CAL}
@@ -73,7 +74,7 @@ SELECT day, year FROM holidays
 
 def paydays(spark, sf_dir):
     """Last working day, 15th and 25th rolled back, per month."""
-    panel = P.panel_table(spark, sf_dir)
+    panel = P.panel_days(spark, sf_dir)
     cal = Q.with_day_flags(Q.spine(spark, panel), Q.day_flags(panel))
     return C.paydays(cal.withColumn("is_workday", C.workday(F.col("day"), F.col("is_holiday"))))
 
@@ -109,14 +110,18 @@ def _order_windows(spark, sf_dir):
                     F.date_add(start, P.priority_code(F.col("o_orderpriority"))).alias("end")))
 
 
+def _state_flags(spark, sf_dir):
+    """(state, day, flag) over the panel's days."""
+    lo, hi = P.panel_bounds(spark, sf_dir)
+    islands = materialize(C.merged_ranges(_order_windows(spark, sf_dir), "state", "start", "end"))
+    return (C.dense_coverage(islands, "state", lo, hi)
+            .select("state", "day", (F.col("depth") > 0).cast("int").alias("flag")))
+
+
 def state_calendar(spark, sf_dir):
-    """Ranges to days, distinct per state, dense 0/1 calendar per
-    state over the panel range, summarised per state with its slug."""
-    panel = P.panel_table(spark, sf_dir)
-    days = C.distinct_days(C.ranges_to_days(_order_windows(spark, sf_dir), "start", "end"), "state")
-    lo = panel.select(F.min("day")).scalar()
-    hi = panel.select(F.max("day")).scalar()
-    dense = C.dense_flag_calendar(days, "state", lo, hi)
+    """Ranges merged per state, dense 0/1 calendar per state over the
+    panel range, summarised per state with its slug."""
+    dense = _state_flags(spark, sf_dir)
     return dense.groupBy("state").agg(F.count(F.lit(1)).alias("days"),
                                       F.sum("flag").alias("flagged")).select(
         "state", C.slug(F.col("state")).alias("slug"), "days", "flagged")
@@ -149,10 +154,7 @@ def state_pivot_join(spark, sf_dir):
     """Dense state flags pivoted to one column per state (one pivot),
     then one join to the daily totals of the panel."""
     panel = P.panel_table(spark, sf_dir)
-    days = C.distinct_days(C.ranges_to_days(_order_windows(spark, sf_dir), "start", "end"), "state")
-    lo = panel.select(F.min("day")).scalar()
-    hi = panel.select(F.max("day")).scalar()
-    dense = C.dense_flag_calendar(days, "state", lo, hi)
+    dense = _state_flags(spark, sf_dir)
     states = sorted(P.REGION_NAMES)
     wide = J.pivot_states(dense, "state", "day", "flag", states, prefix="st_")
     totals = panel.groupBy("day").agg(F.sum("units").alias("units"))
@@ -180,7 +182,7 @@ query("j10_state_pivot_join", _state_pivot_sql())(state_pivot_join)
 
 def parade_days(spark, sf_dir):
     """Second Saturday of each year's festival window."""
-    return Q.parade(P.panel_table(spark, sf_dir))
+    return Q.parade(P.panel_days(spark, sf_dir))
 
 
 query("c14_parade_days", f"""{CAL}
@@ -190,8 +192,8 @@ SELECT day FROM parade
 
 def events_in_range(spark, sf_dir):
     """Holiday dates kept only inside the panel's day range."""
-    panel = P.panel_table(spark, sf_dir)
-    return J.within_range_of(Q.holidays(panel), panel)
+    days = P.panel_days(spark, sf_dir)
+    return J.within_range_of(Q.holidays(days), days)
 
 
 query("j09_events_in_range", f"""{CAL}

@@ -81,7 +81,7 @@ SELECT bin, ROUND(lo + (bin - 1) * w, 4) AS lo, ROUND(lo + bin * w, 4) AS hi, co
 def aligned_totals(spark, sf_dir):
     """V11 + F22: validation-year and test-year daily totals aligned by the
     day offset from each period's start."""
-    panel = P.panel_table(spark, sf_dir)
+    panel = P.panel_table(spark, sf_dir, first=P.VALID_START)
     a = panel.where(F.col("day").between(P.VALID_START, P.VALID_END))
     b = panel.where(F.col("day") >= P.TEST_START)
     return EV.aligned_daily_totals(a, b, value="units", label_a="validation", label_b="test")
@@ -113,7 +113,7 @@ query("v12_prediction_summary", f"WITH {S.PANEL},\n{SCORED},\nsr AS (SELECT spli
 def packed_ids(spark, sf_dir):
     """Test-period (day, group) keys packed to ``yyMMdd`` + group digit
     and parsed back."""
-    panel = P.panel_table(spark, sf_dir).where(F.col("day") >= P.TEST_START)
+    panel = P.panel_table(spark, sf_dir, first=P.TEST_START)
     ids = panel.select(P.packed_id(F.col("day"), F.col("grp")).alias("id"))
     return ids.select("id", P.id_day(F.col("id")).alias("day"), P.id_group(F.col("id")).alias("grp"))
 

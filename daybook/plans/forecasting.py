@@ -12,8 +12,8 @@ from . import sqlparts as S
 from .registry import query
 
 
-def _train_valid(spark, sf_dir):
-    panel = panel_table(spark, sf_dir)
+def _train_valid(spark, sf_dir, **pruned):
+    panel = panel_table(spark, sf_dir, **pruned)
     train = panel.where(F.col("day") <= TRAIN_END)
     valid = panel.where(F.col("day").between(VALID_START, VALID_END))
     return panel, train, valid
@@ -72,9 +72,8 @@ def group_weekday_ols(spark, sf_dir):
     """M8: OLS on one-hot weekday for one group equals that group's weekday
     means; fitted on group 1's train rows, scored on its validation rows,
     metrics."""
-    _, train, valid = _train_valid(spark, sf_dir)
-    scored = fc.weekday_mean_forecast(train.where(F.col("grp") == 1),
-                                      valid.where(F.col("grp") == 1).withColumnRenamed("units", "actual"))
+    _, train, valid = _train_valid(spark, sf_dir, last=VALID_END, groups=[1])
+    scored = fc.weekday_mean_forecast(train, valid.withColumnRenamed("units", "actual"))
     return ev.error_metrics(scored, "actual", "pred", by=["grp"])
 
 

@@ -125,9 +125,8 @@ FROM panel WHERE day IN (SELECT day FROM days) GROUP BY grp
 
 def event_rows(spark, sf_dir):
     """Validation predictions on holidays, sorted by day and group."""
-    panel = P.panel_table(spark, sf_dir)
-    s = scored(spark, sf_dir).where(F.col("split") == "validation")
-    out = IM.event_rows(s, Q.holidays(panel), order=["day", "grp"])
+    s = scored(spark, sf_dir, last=P.VALID_END).where(F.col("split") == "validation")
+    out = IM.event_rows(s, Q.holidays(P.panel_days(spark, sf_dir)), order=["day", "grp"])
     return out.select("day", "grp", "actual", rnd("pred", 6).alias("pred"))
 
 
@@ -201,7 +200,8 @@ def top_features(spark, sf_dir):
 
 query("r03_top_features", f"""{BASE},
 per AS ({_f_sql('enriched', 'grp')})
-SELECT feature, MAX(f_score) AS f_score FROM per GROUP BY feature ORDER BY f_score DESC, feature LIMIT 3
+SELECT feature, MAX(f_score) AS f_score, CAST(row_number() OVER (ORDER BY MAX(f_score) DESC, feature) AS INTEGER) AS rank
+FROM per GROUP BY feature ORDER BY rank LIMIT 3
 """)(top_features)
 
 

@@ -21,10 +21,10 @@ MEASURES = ["units", "lines", "temp", "wind", "cloud"]
 BASE = f"WITH {S.PANEL},\n{S.DAILY},\n{S.CODES},\n{Q.calendar_ctes()},\n{Q.ENRICHED}"
 
 
-def scored(spark, sf_dir):
+def scored(spark, sf_dir, last=P.VALID_END):
     """Weekday-mean forecaster (M1) rows for train and validation:
     ``(split, day, grp, weekday, actual, pred)``."""
-    panel = P.panel_table(spark, sf_dir)
+    panel = P.panel_table(spark, sf_dir, last=last)
     train = panel.where(F.col("day") <= P.TRAIN_END)
     rows = panel.where(F.col("day") <= P.VALID_END).withColumn("split", P.split_label(F.col("day")))
     out = FC.weekday_mean_forecast(train, rows.withColumnRenamed("units", "actual"), value="units")

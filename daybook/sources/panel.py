@@ -21,6 +21,8 @@ sums in the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,18 +60,50 @@ def group_label(grp: Column, default: str = "Unknown") -> Column:
     return F.coalesce(F.try_element_at(m, grp), F.lit(default))
 
 
-def sales_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_panel(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None,
+                groups: list[int] | None = None) -> DataFrame:
     """``(day date, grp int, units double, lines long)``, one row per day and
-    group with at least one line (sparse, like the reference panel)."""
+    group with at least one line (sparse).
+
+    ``first`` and ``last`` (days, inclusive) become range predicates on
+    ``l_shipdate`` in the fact scan, ``groups`` prefix predicates on ``p_type``
+    in the part scan, so a query over one year or one group reads and joins
+    only that.
+    """
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_shipdate", "l_quantity"])
-    pt = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"]).select(
-        "p_partkey", group_number(F.col("p_type")).alias("grp"))
+    pt = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
+    if first:
+        li = li.where(F.col("l_shipdate") >= F.lit(first).cast("timestamp"))
+    if last:
+        li = li.where(F.col("l_shipdate") < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp"))
+    if groups:
+        labels = [F.col("p_type").startswith(GROUP_LABELS[g] + " ") | (F.col("p_type") == GROUP_LABELS[g]) for g in groups]
+        pt = pt.where(reduce(lambda a, b: a | b, labels))
+    pt = pt.select("p_partkey", group_number(F.col("p_type")).alias("grp"))
     return (li.join(pt, li.l_partkey == pt.p_partkey)
             .groupBy(F.to_date("l_shipdate").alias("day"), "grp")
             .agg(F.sum("l_quantity").alias("units"), F.count(F.lit(1)).alias("lines")))
 
 
-def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(day)``: the first and the last day of the panel, two rows.
+
+    Every line has a part, so the fact table's own dates bound the panel and
+    no join is needed for what depends on its span only (years, calendars).
+    """
+    li = read_table(spark, sf_dir, "lineitem", ["l_shipdate"])
+    ends = li.agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi"))
+    return ends.select(F.explode(F.array(F.to_date("lo"), F.to_date("hi"))).alias("day"))
+
+
+def panel_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    """First and last day of the panel as scalar subqueries."""
+    days = panel_days(spark, sf_dir)
+    return days.select(F.min("day")).scalar(), days.select(F.max("day")).scalar()
+
+
+def panel_table(spark: SparkSession, sf_dir: str, first: str | None = None, last: str | None = None,
+                groups: list[int] | None = None) -> DataFrame:
     """The sales panel, built once and checkpointed to the shared folder.
 
     Every later step (calendar bounds, scalar subqueries, size checks, fit
@@ -77,7 +111,7 @@ def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     re-running the fact join; the checkpoint also cuts the lineage, so a
     lost executor never recomputes the fact join.
     """
-    return materialize(sales_panel(spark, sf_dir))
+    return materialize(sales_panel(spark, sf_dir, first, last, groups))
 
 
 def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
