@@ -172,6 +172,7 @@ def calendar_features(df: DataFrame, day: str = "day") -> DataFrame:
     cols = {
         "year": F.year(d), "month": F.month(d), "dom": F.dayofmonth(d), "quarter": F.quarter(d),
         "weekday": F.weekday(d), "iso_week": F.weekofyear(d), "weekday_name": weekday_name(d),
+        "weekday_name_de": weekday_name(d, WEEKDAY_NAMES_DE),
         "is_weekend": is_weekend(d).cast("int"), "month_third": month_third(d),
         "week_of_month": week_of_month(d), "season": season_meteo(d),
         "season_q": season_quarter(d), "is_nye": is_new_years_eve(d).cast("int"),

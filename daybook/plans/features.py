@@ -12,12 +12,13 @@ from ..functions import nulls as NU
 from ..functions import scale as SC
 from ..functions import weather as WX
 from ..operators import enrich as J
+from ..operators import segments as SG
 from ..operators import split as SP
 from ..operators import profile as PR
 from ..sources import panel as P
 from . import common as Q
 from . import sqlparts as S
-from .registry import query
+from .registry import ORACLE, query
 
 BASE = f"WITH {S.PANEL},\n{S.DAILY},\n{S.CODES},\n{Q.calendar_ctes()},\n{Q.ENRICHED}"
 ENRICHED_COLS = ["day", "grp", "units", "lines", "n_orders", "temp", "wind", "cloud", "code",
@@ -141,6 +142,17 @@ SELECT day, grp, ROUND(temp, 9) AS temp, code FROM f
 """)(fill_forward_backward)
 
 
+def fill_blocks(spark, sf_dir):
+    """N11/W5 as ``n11_fill_forward_backward``, with each group's series cut into
+    blocks."""
+    e = Q.enriched(spark, sf_dir).select("day", "grp", "temp", "code")
+    return SG.with_fill(e, ["temp", "code"], "grp", "day").select("day", "grp", rnd("temp", 9).alias("temp"), "code")
+
+
+query("n11b_fill_blocks")(fill_blocks)
+ORACLE["n11b_fill_blocks"] = ORACLE["n11_fill_forward_backward"]
+
+
 # ------------------------------------------------------------ calendar features
 
 EPOCH = "1995-01-01"
@@ -172,7 +184,7 @@ def _calendar_features_sql() -> str:
         for i in range(1, HARMONICS + 1):
             cyc.append(f"ROUND(sin({two_pi!r} * {i} * {t} / {p}), 9) AS {name}_sin_{i}")
             cyc.append(f"ROUND(cos({two_pi!r} * {i} * {t} / {p}), 9) AS {name}_cos_{i}")
-    names = ", ".join(f"'{n}'" for n in D.WEEKDAY_NAMES_EN)
+    names, german = (", ".join(f"'{n}'" for n in x) for x in (D.WEEKDAY_NAMES_EN, D.WEEKDAY_NAMES_DE))
     dom = "day(day)"
     m = "month(day)"
     return f"""WITH {S.PANEL},
@@ -180,7 +192,7 @@ def _calendar_features_sql() -> str:
 SELECT day, CAST(year(day) AS INTEGER) AS year, CAST({m} AS INTEGER) AS month,
   CAST({dom} AS INTEGER) AS dom, CAST(quarter(day) AS INTEGER) AS quarter,
   {S.wd('day')} AS weekday, CAST(weekofyear(day) AS INTEGER) AS iso_week,
-  [{names}][isodow(day)] AS weekday_name,
+  [{names}][isodow(day)] AS weekday_name, [{german}][isodow(day)] AS weekday_name_de,
   CAST(isodow(day) >= 6 AS INTEGER) AS is_weekend,
   CASE WHEN {dom} <= 10 THEN 'start' WHEN {dom} <= 20 THEN 'middle' ELSE 'end' END AS month_third,
   CAST(({dom} - 1) // 7 + 1 AS INTEGER) AS week_of_month,

@@ -14,7 +14,7 @@ from ..functions.numeric import rnd
 from ..operators import evaluate as EV
 from ..operators import forecast as FC
 from ..operators import linear as LN
-from ..session import materialize, shared_path
+from ..session import shared_path
 from ..sources import files as FI
 from ..sources import panel as P
 from ..sources.tables import read_table
@@ -218,9 +218,8 @@ def markdown_sections(spark, sf_dir):
     text = state.select(F.concat(F.lit("## "), "r_name", F.lit(":\n"), "body").alias("s")).agg(
         F.concat(F.lit("# Ferien 1997\n"), F.array_join(F.sort_array(F.collect_list("s")), "\n")).alias("value"))
     text.write.text(path)
-    ranges, unparsed = FI.read_sectioned_markdown(spark, path)
-    left = materialize(unparsed).count()
-    return ranges.select("year", "state", "name", "start", "end", F.lit(left).alias("unparsed"))
+    ranges = FI.read_sections_checked(spark, path)       # raises where a line is left
+    return ranges.select("year", "state", "name", "start", "end", F.lit(0).alias("unparsed"))
 
 
 query("s06_markdown_sections", """

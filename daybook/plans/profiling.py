@@ -7,9 +7,11 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
+from ..operators import alignment as AL
 from ..operators import evaluate as EV
 from ..operators import forecast as FC
 from ..operators import profile as PR
+from ..operators import segments as SG
 from ..operators import windows as WN
 from ..sources import panel as P
 from . import common as Q
@@ -465,6 +467,24 @@ FROM panel
 """)(rolling)
 
 
+def rolling_blocks(spark, sf_dir):
+    """W1-W3 as ``w01_rolling``, with each group's series cut into blocks."""
+    rows = SG.with_time_index(P.panel_table(spark, sf_dir), "grp", "day")
+    out = SG.with_rolling(rows, "units", "grp")
+    return out.select("day", "grp", "units", rnd("roll", 6).alias("roll7"), rnd("roll_prev", 6).alias("roll7_prev"),
+                      F.col("next").alias("next_units"), F.col("t").cast("int").alias("t"))
+
+
+query("w01b_rolling_blocks", f"""WITH {S.PANEL}
+SELECT day, grp, units,
+  ROUND(AVG(units) OVER (PARTITION BY grp ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS roll7,
+  ROUND(AVG(units) OVER (PARTITION BY grp ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS roll7_prev,
+  lead(units) OVER (PARTITION BY grp ORDER BY day) AS next_units,
+  CAST(row_number() OVER (PARTITION BY grp ORDER BY day) - 1 AS INTEGER) AS t
+FROM panel
+""")(rolling_blocks)
+
+
 def top_pairs(spark, sf_dir):
     """Five strongest and five weakest group correlations."""
     pairs = group_corr_pairs(spark, sf_dir)
@@ -591,20 +611,24 @@ REQUIRED = ["day", "grp", "actual", "pred", "temp"]
 
 
 def integrity_profile(spark, sf_dir):
-    """A33 + U3: schema diff (missing required columns) and one summary row
-    (rows, date range, negative predictions) of the scored frame."""
+    """A33 + U3: schema diff (missing required columns), one summary row (rows,
+    date range, negative predictions) of the scored frame, and whether it holds
+    the same (day, group, value) rows as the panel, by months that differ."""
     s = scored(spark, sf_dir)
+    panel = P.sales_panel(spark, sf_dir, last=P.VALID_END).withColumnRenamed("units", "actual")
+    off = AL.differing_ranges(s, panel, ["day", "grp", "actual"], F.trunc("day", "MM")).agg(F.count(F.lit(1)).alias("n")).scalar()
     prof = PR.integrity_profile(s, REQUIRED, pred="pred")
     diff = CO.column_difference(REQUIRED, s)
     return prof["summary"].select("*", F.lit(",".join(prof["missing_columns"])).alias("missing_columns"),
-                                  F.lit(",".join(diff["extra"])).alias("extra_columns"))
+                                  F.lit(",".join(diff["extra"])).alias("extra_columns"),
+                                  off.alias("differing_months"), (off == 0).alias("aligned"))
 
 
 query("a33_integrity_profile", f"""WITH {S.PANEL},
 {SCORED}
 SELECT COUNT(*) AS rows, MIN(day) AS first_day, MAX(day) AS last_day,
        COUNT(CASE WHEN pred < 0 THEN 1 END) AS negative_predictions,
-       'temp' AS missing_columns, 'split,weekday' AS extra_columns FROM scored
+       'temp' AS missing_columns, 'split,weekday' AS extra_columns, CAST(0 AS BIGINT) AS differing_months, TRUE AS aligned FROM scored
 """)(integrity_profile)
 
 

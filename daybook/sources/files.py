@@ -4,11 +4,15 @@ paths can be any shared file system the cluster mounts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 
 class MissingInputError(FileNotFoundError):
     """A required input is absent (the reference skipped such files
@@ -81,6 +85,36 @@ def _word_date(text: Column, fallback_year: Column | None) -> Column:
                   F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"))
 
 
+class UnparsedSourceError(ValueError):
+    """Lines of a source fit none of its formats."""
+
+
+def read_sections_checked(spark: SparkSession, path: str) -> DataFrame:
+    """The ranges of ``read_sectioned_markdown``, stored; one unparsed line
+    raises ``UnparsedSourceError`` with the number of such lines and one of them.
+
+    Both are observed while the ranges are written, so the source is read once.
+    """
+    entries = _section_entries(spark, path)
+    seen = Observation(f"sections {uuid.uuid4().hex}")
+    bad = F.col("start").isNull() | F.col("end").isNull()
+    watched = entries.observe(seen, F.count(F.when(bad, 1)).alias("unparsed"), F.min(F.when(bad, F.col("line"))).alias("line"))
+    ranges = materialize(watched.where(~bad).drop("line"))
+    if seen.get["unparsed"]:
+        raise UnparsedSourceError(f"{path}: {seen.get['unparsed']} lines, among them {seen.get['line']!r}")
+    return ranges
+
+
+def read_coerced(df: DataFrame, casts: dict[str, str]) -> tuple[DataFrame, dict[str, int]]:
+    """Columns cast to the given types, what does not fit as null, stored;
+    and how many values of each column were lost so, observed in the same job."""
+    seen = Observation(f"casts {uuid.uuid4().hex}")
+    out = df.select(*df.columns, *[F.col(c).try_cast(k).alias(f"__cast_{c}") for c, k in casts.items()])
+    out = out.observe(seen, *[F.count(F.when(F.col(c).isNotNull() & F.col(f"__cast_{c}").isNull(), 1)).alias(c) for c in casts])
+    stored = materialize(out.select(*[F.col(f"__cast_{c}").alias(c) if c in casts else F.col(c) for c in df.columns]))
+    return stored, {c: int(seen.get[c]) for c in casts}
+
+
 def read_sectioned_markdown(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """``# ... yyyy`` year sections, ``## State`` (optionally ending in
     ``:``) subsections, ``- name: start - end`` entries in either
@@ -94,6 +128,12 @@ def read_sectioned_markdown(spark: SparkSession, path: str) -> tuple[DataFrame,
     so section headings carry forward by a window over the line number
     within the file (one file is one small partition).
     """
+    out = _section_entries(spark, path)
+    ok = F.col("start").isNotNull() & F.col("end").isNotNull()
+    return out.where(ok).drop("line"), out.where(~ok).select("file", "line")
+
+
+def _section_entries(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("wholetext", True).text(path).select(
         F.col("_metadata.file_path").alias("file"), "value")
     lines = raw.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
@@ -108,17 +148,15 @@ def read_sectioned_markdown(spark: SparkSession, path: str) -> tuple[DataFrame,
     entries = tagged.where(F.col("line").rlike(r"^\s*-\s"))
     body = F.regexp_extract("line", r"^\s*-\s*([^:]+):\s*(.+?)\s*$", 2)
     parts = F.split(body, r"\s+-\s+")
-    a, b = F.trim(parts.getItem(0)), F.trim(parts.getItem(1))
+    a, b = F.trim(F.get(parts, F.lit(0))), F.trim(F.get(parts, F.lit(1)))
     end_num = parse_date(b, "dd.MM.yyyy")
     start_num = parse_date(a, "dd.MM.yyyy")
     end_word = _word_date(b, None)
     end = F.coalesce(end_num, end_word)
     start = F.coalesce(start_num, _word_date(a, F.year(end)))
-    out = entries.select("file", "year", "state",
-                         F.trim(F.regexp_extract("line", r"^\s*-\s*([^:]+):", 1)).alias("name"),
-                         start.alias("start"), end.alias("end"), "line")
-    ok = F.col("start").isNotNull() & F.col("end").isNotNull()
-    return out.where(ok).drop("line"), out.where(~ok).select("file", "line")
+    return entries.select("file", "year", "state",
+                          F.trim(F.regexp_extract("line", r"^\s*-\s*([^:]+):", 1)).alias("name"),
+                          start.alias("start"), end.alias("end"), "line")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", sep: str = ",",

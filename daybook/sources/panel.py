@@ -72,10 +72,11 @@ def sales_panel(spark: SparkSession, sf_dir: str, first: str | None = None, last
     """
     li = read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_shipdate", "l_quantity"])
     pt = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
+    kind = li.schema["l_shipdate"].dataType          # a cast of the column would keep the filter from the scan
     if first:
-        li = li.where(F.col("l_shipdate") >= F.lit(first).cast("timestamp"))
+        li = li.where(F.col("l_shipdate") >= F.lit(first).cast(kind))
     if last:
-        li = li.where(F.col("l_shipdate") < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp"))
+        li = li.where(F.col("l_shipdate") < F.date_add(F.lit(last).cast("date"), 1).cast(kind))
     if groups:
         labels = [F.col("p_type").startswith(GROUP_LABELS[g] + " ") | (F.col("p_type") == GROUP_LABELS[g]) for g in groups]
         pt = pt.where(reduce(lambda a, b: a | b, labels))
