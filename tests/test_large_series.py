@@ -223,7 +223,8 @@ def test_permutation_losses(spark):
 
 
 def test_panel_filters_reach_the_scans(spark):
-    plan = P.sales_panel(spark, SF_SMALL, "2000-01-01", "2000-12-31", [1])._jdf.queryExecution().toString()
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = P.sales_panel(spark, SF_SMALL, "2000-01-01", "2000-12-31", [1])._jdf.queryExecution().explainString(formatted)
     assert "GreaterThanOrEqual(l_shipdate,2000-01-01" in plan and "LessThan(l_shipdate,2001-01-01" in plan
     assert "StringStartsWith(p_type,ECONOMY " in plan
     assert {r.grp for r in P.sales_panel(spark, SF_SMALL, groups=[1, 4]).select("grp").distinct().collect()} == {1, 4}
