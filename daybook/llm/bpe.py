@@ -234,7 +234,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = replayer(path, pattern)
-        for part in chunks(batches, max_bytes=16 << 20):
+        for part in chunks(batches, max_bytes=4 << 20):
             texts = part.column("text").to_pylist()
             found = list(replay.digest(texts))
             out = [part.column("id"), pa.array([x[0] for x in found], pa.int64()),

@@ -479,13 +479,13 @@ def score_toxicity(docs: DataFrame, model: Detector, id_col: str = "doc_id", tex
         s = model.score(texts)
         return [s, (s >= 0.5).astype(np.int32)]
 
-    return scored(docs, score, {"score": "double", "predicted": "integer"}, id_col, text_col)
+    return scored(docs, score, {"score": "double", "predicted": "integer"}, id_col, text_col, 2 << 20)
 
 
 def without_toxic(docs: DataFrame, model: Detector, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below 0.5, all columns unchanged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, text_col, 6 << 20):
+        for part in chunks(batches, text_col, 2 << 20):
             yield part.filter(pa.array(model.score(part.column(text_col)) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
