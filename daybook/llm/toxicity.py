@@ -195,22 +195,31 @@ class Landmarks:
     def __init__(self, words: list[str]):
         self.words = words
         code, owner = letter_codes(words)
-        found = [(owner[at], number, weight) for at, number, weight in triples(code, owner)]
-        self.numbers = np.unique(np.concatenate([x[1] for x in found]))
-        self.column = np.full(1 << 18, -1)
-        self.column[self.numbers] = np.arange(len(self.numbers))
-        self.phi = np.zeros((len(words), len(self.numbers)), np.float32)
-        for who, number, weight in found:
-            np.add.at(self.phi, (who, self.column[number]), np.float32(weight))
-        self.phi /= norms(owner, len(words))[:, None].astype(np.float32)
+        found = [(owner[at], number, np.full(len(at), weight)) for at, number, weight in triples(code, owner)]
+        who, number, weight = (np.concatenate(x) for x in zip(*found))
+        self.numbers = np.unique(number)
+        self.column = np.full(1 << 18, -1, np.int32)
+        self.column[self.numbers] = np.arange(len(self.numbers), dtype=np.int32)
+        # the landmarks' triples as (column, landmark, weight), by column: a dense table would hold a hundred million numbers
+        cell, place = np.unique(self.column[number].astype(np.int64) * len(words) + who, return_inverse=True)
+        self.at, self.who = np.divmod(cell, len(words))
+        self.value = (np.bincount(place, weight) / norms(owner, len(words))[self.who]).astype(np.float32)
         gram = np.zeros((len(words), len(words)))
-        for i in range(0, len(self.numbers), 4096):
-            part = self.phi[:, i:i + 4096].astype(np.float64)
-            gram += part @ part.T
+        for _, _, part in self.blocks():
+            gram += part.astype(np.float64) @ part.T.astype(np.float64)
         value, vector = np.linalg.eigh(gram)
         keep = value > 1e-6 * value.max()
         self.root = vector[:, keep] / np.sqrt(value[keep])
 
+    def blocks(self, width: int = 8192) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(first column, column after the last, landmarks x columns) of the table."""
+        for lo in range(0, len(self.numbers), width):
+            hi = min(lo + width, len(self.numbers))
+            i, j = np.searchsorted(self.at, (lo, hi))
+            part = np.zeros((len(self.words), hi - lo), np.float32)
+            part[self.who[i:j], self.at[i:j] - lo] = self.value[i:j]
+            yield lo, hi, part
+
     def map(self, words: list[str]) -> np.ndarray:
         rows = max(1, (1 << 23) // max(1, len(self.numbers)))      # bounds the dense block
         if len(words) > rows:
@@ -220,25 +229,32 @@ class Landmarks:
         for at, number, weight in triples(code, owner):
             column = self.column[number]
             np.add.at(own.reshape(-1), owner[at][column >= 0] * own.shape[1] + column[column >= 0], np.float32(weight))
-        return (own @ self.phi.T) / norms(owner, len(words))[:, None] @ self.root
+        kernel = sum(own[:, lo:hi] @ part.T for lo, hi, part in self.blocks())
+        return kernel / norms(owner, len(words))[:, None] @ self.root
 
     def weights(self, w: np.ndarray) -> np.ndarray:
         """The SVM's weight per letter triple."""
         table = np.zeros(1 << 18)
-        table[self.numbers] = (self.root @ w) @ self.phi
+        each = self.root @ w
+        table[self.numbers] = np.bincount(self.at, each[self.who] * self.value, len(self.numbers))
         return table
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 0.05, steps: int = 25) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, by Newton steps in the primal."""
-    x1 = np.column_stack([x, np.ones(len(x))])
-    shrink = np.full(x1.shape[1], ridge)
+    shrink = np.full(x.shape[1] + 1, ridge)
     shrink[-1] = 1e-3
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(steps):
-        inside = y * (x1 @ w) < 1
-        xs = x1[inside] * cost[inside][:, None]
-        new = np.linalg.solve(xs.T @ x1[inside] + np.diag(shrink), xs.T @ y[inside])
+        inside = np.flatnonzero(y * (x @ w[:-1] + w[-1]) < 1)
+        square, right = np.diag(shrink), np.zeros(len(w))
+        for i in range(0, len(inside), 2048):          # the rows' weighted copy stays small
+            rows = inside[i:i + 2048]
+            part = np.column_stack([x[rows], np.ones(len(rows))])
+            weighted = part * cost[rows][:, None]
+            square += weighted.T @ part
+            right += weighted.T @ y[rows]
+        new = np.linalg.solve(square, right)
         if np.abs(new - w).max() < 1e-6:
             return new[:-1], float(new[-1])
         w = new
