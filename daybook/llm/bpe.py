@@ -2,13 +2,12 @@
 
 A task takes its documents in pieces of bounded size, cuts them into segments
 (white space plus the run after it) and collects the distinct segments it has
-not met yet.  Their pattern matches become one flat token sequence, and an
-inverted index holds for every adjacent pair its rank and position.  Merges are
-replayed in rank order: words are independent of each other, so one step takes
-from the index, for every word, all positions of the word's lowest rank, merges
-them, and looks up again only the neighbours a merge has touched.  So every
-distinct segment is encoded once, together with all others, and documents are
-put together from the segments' stored ids and decoded bytes.
+not met yet.  Their pattern matches become one flat token sequence with the rank
+of every adjacent pair.  Words are independent of each other, so one step merges,
+in every word that is still open, all places of the word's own lowest-ranked pair
+and looks up again only the neighbours a merge has touched.  There is no index
+over the whole corpus: a segment is encoded once per worker and piece, and
+documents are put together from the segments' stored ids and decoded bytes.
 
 Only the vocabulary file and a bounded table of segments are held per worker;
 nothing is shuffled, and a lost task is simply run again.
