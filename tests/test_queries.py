@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from daybook.plans import QUERIES
 from daybook.sources.tables import TABLES
 
 from .conftest import SF_SMALL
@@ -45,7 +46,8 @@ def test_entry(spark):
 def test_every_query_has_callable_and_known_twin():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 100
+    core = set(QUERIES)
+    assert core <= set(qs) and {"m06_full_ols", "m16_shared_heads", "r08_forest_importance", "s15_stored_model"} <= core
 
 
 @pytest.mark.parametrize("name", FAST)
