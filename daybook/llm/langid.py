@@ -36,7 +36,10 @@ REJECT_SHARE, LIMIT_SHARE = 0.005, 0.1
 def letter_words(word: str) -> str:
     """Lower-cased letter runs of a white-space word, joined by the border mark
     (empty: no letter)."""
-    return NOT_LETTERS.sub(BORDER, word.lower()).strip(BORDER)
+    out = NOT_LETTERS.sub(BORDER, word.lower()).strip(BORDER)
+    if out and not out.replace(BORDER, "").isalpha():          # numerals such as ², ½ and Ⅷ are no letters
+        out = BORDER.join("".join(c if c.isalpha() else " " for c in out).split())
+    return out
 
 
 def gram_hash(chars: np.ndarray, order: int) -> np.ndarray:

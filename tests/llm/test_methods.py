@@ -336,3 +336,11 @@ def test_language_counts_grow_with_the_table(spark):
     seen = [i for i in range(2000) if langid.hash_of(f"q{chr(0x4E00 + i)}z") in hashes]
     assert 1000 < len(seen) < 1300          # two folds of three, nine in ten of them
     assert 0 < models.limits[0] < np.inf
+
+
+def test_numerals_are_no_letters(spark):
+    assert [langid.letter_words(w) for w in ("²", "½", "①", "Ⅷ", "x²y", "Straße", "l'été", "a_b1c", "一")] == \
+        ["", "", "", "", "x\ny", "straße", "l\nété", "a\nb\nc", "一"]
+    rows = [(i, "the old house by the sea", "en") for i in range(30)] + [(30, "²", "en"), (31, "½ Ⅷ", "en"), (32, None, "en")]
+    got = {r.doc_id: r.lang_pred for r in langid.language_report(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[30] == got[31] == got[32] == "und"
