@@ -117,6 +117,20 @@ def aligned_daily_totals(a: DataFrame, b: DataFrame, day: str = "day", value: st
     return totals(a, label_a).join(totals(b, label_b), "offset", "full")
 
 
+def prediction_series(rows: DataFrame, later: DataFrame, day: str = "day", actual: str = "actual",
+                      pred: str = "pred", value: str = "value") -> DataFrame:
+    """Daily totals of a scored period (actual and predicted) and of a later
+    period on one axis, ``offset`` days from the scored period's first day.  One
+    aggregate over the tagged union; a series without rows on a day, or with
+    nulls only, is null there."""
+    none = F.lit(None).cast("double")
+    both = rows.select(day, F.col(actual).cast("double").alias("__a"), F.col(pred).cast("double").alias("__p"), none.alias("__l"))
+    both = both.unionByName(later.select(day, none.alias("__a"), none.alias("__p"), F.col(value).cast("double").alias("__l")))
+    start = rows.select(F.min(day)).scalar()
+    return both.groupBy(F.datediff(F.col(day), start).alias("offset")).agg(
+        F.sum("__a").alias("total_actual"), F.sum("__p").alias("total_pred"), F.sum("__l").alias("total_later"))
+
+
 def prediction_summary(df: DataFrame, pred: str = "pred", day: str = "day",
                        by: list[str] | None = None) -> DataFrame:
     """Distinct days, zeros, negatives, mean, min, max of predictions."""

@@ -3,8 +3,9 @@
 Every operator is one or two aggregate passes.  Plain aggregates (count,
 sum, avg, stddev, corr, min, max) combine map-side, so hot keys are cheap.
 Exact quantiles (``percentile``) keep a value-count map per group; they run
-on the daily panel, whose groups are bounded by the number of days, and
-take ``approx=True`` for raw fact-sized inputs.
+on the daily panel, whose groups are bounded by the number of days.  For raw
+fact-sized inputs there is distributed selection (``quantiles.py``), or
+``approx=True``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import rnd
 from ..sizing import checked_broadcast
+from .quantiles import quantile_columns
 
 DESCRIBE_STATS = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
@@ -221,14 +223,18 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
 
 def box_stats(df: DataFrame, keys: list[str], value: str, approx: bool = False,
-              digits: int = 6) -> DataFrame:
+              digits: int = 6, select: bool = False) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the
     fences) and outlier count per key.  Two passes: quartiles per key, then
-    conditional min/max/count against the joined fences."""
+    conditional min/max/count against the joined fences.  ``select`` takes the
+    quartiles by distributed selection, for groups of any size."""
     v = F.col(value)
-    q = df.groupBy(*keys).agg(
-        _quantile(v, 0.25, approx).alias("q1"), _quantile(v, 0.5, approx).alias("median"),
-        _quantile(v, 0.75, approx).alias("q3"))
+    if select:
+        q = quantile_columns(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
+    else:
+        q = df.groupBy(*keys).agg(
+            _quantile(v, 0.25, approx).alias("q1"), _quantile(v, 0.5, approx).alias("median"),
+            _quantile(v, 0.75, approx).alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     if not keys:  # one fence row: join on a constant key, broadcast
         df, q, keys = df.withColumn("__all", F.lit(1)), q.withColumn("__all", F.lit(1)), ["__all"]

@@ -97,6 +97,26 @@ FROM a2 FULL OUTER JOIN b2 ON a2."offset" = b2."offset"
 """)(aligned_totals)
 
 
+def prediction_series(spark, sf_dir):
+    """Validation actuals, validation predictions of the weekday-mean
+    forecaster and test-period totals per day since the validation start."""
+    valid = scored(spark, sf_dir).where(F.col("split") == "validation")
+    later = P.panel_table(spark, sf_dir, first=P.TEST_START)
+    out = EV.prediction_series(valid, later, value="units")
+    return out.select("offset", "total_actual", rnd("total_pred", 6).alias("total_pred"), "total_later")
+
+
+query("v11b_prediction_series", f"""WITH {S.PANEL},
+{SCORED},
+v AS (SELECT day, actual, pred FROM scored WHERE split = 'validation'),
+u AS (SELECT day, CAST(actual AS DOUBLE) AS a, pred AS p, CAST(NULL AS DOUBLE) AS l FROM v
+      UNION ALL SELECT day, NULL, NULL, CAST(units AS DOUBLE) FROM panel WHERE {S.TEST})
+SELECT CAST(date_diff('day', (SELECT min(day) FROM v), day) AS INTEGER) AS "offset",
+  SUM(a) AS total_actual, ROUND(SUM(p), 6) AS total_pred, SUM(l) AS total_later
+FROM u GROUP BY 1
+""")(prediction_series)
+
+
 def prediction_summary(spark, sf_dir):
     """Prediction distribution per split."""
     s = scored(spark, sf_dir).withColumn("pred", rnd("pred", 6))

@@ -11,9 +11,11 @@ from ..operators import alignment as AL
 from ..operators import evaluate as EV
 from ..operators import forecast as FC
 from ..operators import profile as PR
+from ..operators import quantiles as QU
 from ..operators import segments as SG
 from ..operators import windows as WN
 from ..sources import panel as P
+from ..sources.tables import read_table
 from . import common as Q
 from . import sqlparts as S
 from .registry import query
@@ -318,6 +320,42 @@ FROM j GROUP BY weekday, q1, median, q3, iqr
 """)(box_stats)
 
 
+def fact_quantiles(spark, sf_dir):
+    """A1/A2 on the fact table: quartiles and the 99 % point of every line's
+    price and quantity per return flag and line status, by distributed selection."""
+    lines = read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_linestatus", "l_extendedprice", "l_quantity"])
+    out = QU.exact_quantiles(lines, ["l_extendedprice", "l_quantity"], FACT_PROBS, ["l_returnflag", "l_linestatus"])
+    return out.withColumn("value", rnd("value", 4))
+
+
+FACT_PROBS = [0.25, 0.5, 0.75, 0.99]
+
+query("a02b_fact_quantiles", "\nUNION ALL ".join(
+    f"SELECT l_returnflag, l_linestatus, '{c}' AS \"column\", CAST({p} AS DOUBLE) AS p, "
+    f"ROUND(quantile_cont(CAST({c} AS DOUBLE), {p}), 4) AS value FROM lineitem GROUP BY l_returnflag, l_linestatus"
+    for c in ("l_extendedprice", "l_quantity") for p in FACT_PROBS))(fact_quantiles)
+
+
+def fact_box_stats(spark, sf_dir):
+    """A26 on the fact table: box-plot statistics of every line's price per
+    return flag, quartiles by distributed selection."""
+    lines = read_table(spark, sf_dir, "lineitem", ["l_returnflag", "l_extendedprice"])
+    lines = lines.withColumn("l_extendedprice", F.col("l_extendedprice").cast("double"))
+    return PR.box_stats(lines, ["l_returnflag"], "l_extendedprice", digits=4, select=True)
+
+
+query("a26b_fact_box_stats", """WITH p AS (SELECT l_returnflag, CAST(l_extendedprice AS DOUBLE) AS v FROM lineitem),
+q AS (SELECT l_returnflag, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+             quantile_cont(v, 0.75) AS q3 FROM p GROUP BY l_returnflag),
+j AS (SELECT p.l_returnflag, p.v, q.q1, q.median, q.q3, q.q3 - q.q1 AS iqr FROM p JOIN q USING (l_returnflag))
+SELECT l_returnflag, ROUND(q1, 4) AS q1, ROUND(median, 4) AS median, ROUND(q3, 4) AS q3, ROUND(iqr, 4) AS iqr,
+  MIN(CASE WHEN v >= q1 - 1.5 * iqr AND v <= q3 + 1.5 * iqr THEN v END) AS whisker_lo,
+  MAX(CASE WHEN v >= q1 - 1.5 * iqr AND v <= q3 + 1.5 * iqr THEN v END) AS whisker_hi,
+  COUNT(CASE WHEN NOT (v >= q1 - 1.5 * iqr AND v <= q3 + 1.5 * iqr) THEN 1 END) AS n_outliers
+FROM j GROUP BY l_returnflag, q1, median, q3, iqr
+""")(fact_box_stats)
+
+
 def kde_by_split(spark, sf_dir):
     """Gaussian kernel density of the sales rows per split, 200 points."""
     t = P.panel_table(spark, sf_dir).withColumn("split", P.split_label(F.col("day")))
