@@ -135,3 +135,11 @@ def quantile_columns(df: DataFrame, col: str, named: dict[str, float], by: list[
     rows = exact_quantiles(df, [col], list(named.values()), by, bound)
     return rows.groupBy(*(by or [])).agg(*[F.max(F.when(F.col("p") == float(p), F.col("value"))).alias(n)
                                           for n, p in named.items()])
+
+
+def quantile_scalars(df: DataFrame, cols: list[str], probs: list[float], bound: int = BOUND) -> dict[str, list[Column]]:
+    """Per column the quantiles of a whole frame as scalar subqueries of one
+    stored table of cols x probs rows; null on an empty frame."""
+    stored = materialize(exact_quantiles(df, cols, probs, bound=bound))
+    return {c: [stored.where((F.col("column") == c) & (F.col("p") == float(p))).select(F.max("value")).scalar()
+                for p in probs] for c in cols}

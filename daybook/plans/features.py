@@ -16,6 +16,7 @@ from ..operators import segments as SG
 from ..operators import split as SP
 from ..operators import profile as PR
 from ..sources import panel as P
+from ..sources.tables import read_table
 from . import common as Q
 from . import sqlparts as S
 from .registry import ORACLE, query
@@ -405,3 +406,35 @@ SELECT day, grp, ROUND(tz, 6) AS temp_z, ROUND(wz, 6) AS wind_z, ROUND(tr_, 6) A
        ROUND((tz - m2) / s2, 6) AS temp_zz, ROUND(un, 6) AS units_n, ROUND(un * su + mu, 6) AS units_back
 FROM v, z1
 """)(scaling)
+
+
+def fact_scaling(spark, sf_dir):
+    """F27, F40 and N9 fitted on the fact table by distributed selection: every
+    line's price scaled by the train lines' median and IQR, binned by their
+    quintiles, zero tax read as missing and filled with their median."""
+    lines = read_table(spark, sf_dir, "lineitem", ["l_shipdate", "l_extendedprice", "l_tax"]).select(
+        F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").cast("double").alias("price"),
+        F.nullif(F.col("l_tax").cast("double"), F.lit(0.0)).alias("tax"))
+    train = lines.where(F.col("day") <= P.TRAIN_END)
+    out = NU.median_impute(lines, ["tax"], fit_on=train, select=True)
+    out = SC.apply_robust(out, SC.fit_robust(train, ["price"], select=True), "_r")
+    quintile = WX.quantile_category("price", WX.quantile_edges(train, "price", select=True), ("q1", "q2", "q3", "q4", "q5"))
+    return out.groupBy(P.split_label(F.col("day")).alias("split"), quintile.alias("quintile")).agg(
+        F.count(F.lit(1)).alias("n"), rnd(F.avg("price_r"), 6).alias("price_r"),
+        rnd(F.max("price_r"), 6).alias("max_price_r"), rnd(F.avg("tax"), 6).alias("tax"))
+
+
+query("f40b_fact_scaling", f"""WITH l AS (
+  SELECT CAST(l_shipdate AS DATE) AS day, CAST(l_extendedprice AS DOUBLE) AS price, nullif(CAST(l_tax AS DOUBLE), 0) AS tax
+  FROM lineitem),
+st AS (SELECT quantile_cont(price, [0.2, 0.4, 0.6, 0.8]) AS e, quantile_cont(price, 0.5) AS med,
+              quantile_cont(price, 0.75) - quantile_cont(price, 0.25) AS iqr, quantile_cont(tax, 0.5) AS t
+       FROM l WHERE {S.TRAIN}),
+r AS (SELECT {S.SPLIT_CASE} AS split, CASE WHEN price <= e[1] THEN 'q1' WHEN price <= e[2] THEN 'q2'
+        WHEN price <= e[3] THEN 'q3' WHEN price <= e[4] THEN 'q4' ELSE 'q5' END AS quintile,
+        (price - med) / iqr AS price_r, COALESCE(tax, t) AS tax
+      FROM l p, st)
+SELECT split, quintile, COUNT(*) AS n, ROUND(AVG(price_r), 6) AS price_r, ROUND(MAX(price_r), 6) AS max_price_r,
+  ROUND(AVG(tax), 6) AS tax
+FROM r GROUP BY 1, 2
+""")(fact_scaling)

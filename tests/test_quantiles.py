@@ -5,6 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.functions import nulls as NU
+from daybook.functions import scale as SC
+from daybook.functions import weather as WX
 from daybook.operators import profile as PR
 from daybook.operators import quantiles as QU
 
@@ -63,3 +66,16 @@ def test_box_stats_by_selection(spark):
     for keys in (["k"], []):
         rows = [sorted(PR.box_stats(df, keys, "v", select=s).collect(), key=str) for s in (False, True)]
         assert rows[0] == rows[1]
+
+
+def test_fits_by_selection(spark):
+    draw = np.random.default_rng(11)
+    df = spark.createDataFrame(pd.DataFrame({"x": draw.normal(5, 3, 800)})).withColumn("y", F.when(F.col("x") > 3, F.col("x")))
+    by_selection = {s: df.agg(*[a.alias(f"{c}{i}") for c, ab in SC.fit_robust(df, ["x", "y"], select=s).items()
+                                for i, a in enumerate(ab)],
+                              ).first() for s in (False, True)}
+    assert by_selection[True] == pytest.approx(by_selection[False], abs=1e-12)
+    filled = [NU.median_impute(df, ["y"], select=s).agg(F.sum("y")).first()[0] for s in (False, True)]
+    assert filled[0] == pytest.approx(filled[1], abs=1e-9)
+    edges = [df.select(WX.quantile_edges(df, "x", select=s).alias("e")).first()["e"] for s in (False, True)]
+    assert edges[0] == pytest.approx(edges[1], abs=1e-12)

@@ -17,7 +17,7 @@ FAST = ["m01_weekday_mean_eval", "c01_calendar_spine", "c08_paydays", "j01_enric
         "f01_calendar_features", "f23_measure_features", "a01_describe", "a26_box_stats",
         "e04_event_intervals", "r02_f_scores_group_max", "m09_spectrum_top", "w01_rolling",
         "s09_packed_ids", "v11_aligned_totals", "v11b_prediction_series", "a02b_fact_quantiles",
-        "a26b_fact_box_stats"]
+        "a26b_fact_box_stats", "f40b_fact_scaling"]
 
 
 def _norm(rows):
