@@ -38,7 +38,7 @@ LONGEST, LEAST = 5, 100
 MOST_NODES = 2_000_000
 NO_LANGUAGE = "und"
 ROW_WORDS = 1024              # of a stored row, so that an Arrow batch of rows is small
-ROWS_AT_ONCE = 500            # stored rows that are counted together
+ROWS_AT_ONCE = 250            # stored rows that are counted together
 SHARDS_PER_CORE = 1
 
 
@@ -200,9 +200,9 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """The numbers of ``ROWS_AT_ONCE`` stored rows each; every row ends in 0, so
     no phrase spans two."""
     for batch in batches:
-        rows = batch.column("codes").cast(pa.large_binary())
+        rows = batch.column("codes")
         for i in range(0, len(rows), ROWS_AT_ONCE):
-            some = rows.slice(i, ROWS_AT_ONCE)
+            some = rows.slice(i, ROWS_AT_ONCE).cast(pa.large_binary())
             ends = np.frombuffer(some.buffers()[1], np.int64)[some.offset:some.offset + len(some) + 1]
             yield np.frombuffer(some.buffers()[2], np.int32)[ends[0] // 4:ends[-1] // 4]
 
