@@ -37,8 +37,9 @@ GAPS, STOPS = b" \t", b".,;:!?\n\x0b\x0c\r"
 LONGEST, LEAST = 5, 100
 MOST_NODES = 2_000_000
 NO_LANGUAGE = "und"
-ROW_WORDS = 1024              # of a stored row, so that an Arrow batch of rows is small
-ROWS_AT_ONCE = 250            # stored rows that are counted together
+TEXT_BYTES = 1 << 19          # of a piece of texts; a worker keeps what its largest piece took
+ROW_WORDS = 256               # of a stored row, so that an Arrow batch of rows is small
+ROWS_AT_ONCE = 1000           # stored rows that are counted together
 SHARDS_PER_CORE = 1
 
 
@@ -161,7 +162,7 @@ def lang_words(part: pa.RecordBatch, salt: int):
 def count_words(rows: DataFrame, salt: int) -> DataFrame:
     """(key, lang, word, n) of every word of every language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, max_bytes=2 << 20):
+        for part in chunks(batches, max_bytes=TEXT_BYTES):
             keys, langs, texts, number, _ = lang_words(part, salt)
             yield pa.RecordBatch.from_arrays([pa.array(keys), langs.cast(pa.utf8()), pa.array(texts, pa.binary()).cast(pa.utf8()),
                                               pa.array(np.bincount(number, minlength=len(keys)))], names=["key", "lang", "word", "n"])
@@ -179,7 +180,7 @@ def store_codes(rows: DataFrame, keys: np.ndarray, salt: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for part in chunks(batches, max_bytes=2 << 20):
+        for part in chunks(batches, max_bytes=TEXT_BYTES):
             found, _, _, number, words = lang_words(part, salt)
             place = np.minimum(np.searchsorted(known, found), len(known) - 1)
             code = np.where(known[place] == found, place + 1, 0)[number]
