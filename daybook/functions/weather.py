@@ -105,6 +105,7 @@ def felt_piecewise(temp, wind, humidity: float = 0.5) -> Column:
     wp = F.pow(w, 0.16)
     chill = 13.12 + 0.6215 * t - 11.37 * wp + 0.3965 * t * wp
     h = humidity
+    # The published coefficients of wind chill (above) and heat index.
     heat = (-8.78469475556 + 1.61139411 * t + 2.33854883889 * h - 0.14611605 * t * h
             - 0.012308094 * t * t - 0.0164248277778 * h * h + 0.002211732 * t * t * h
             + 0.00072546 * t * h * h - 0.000003582 * t * t * h * h)
