@@ -38,15 +38,21 @@ def triangle(rows: np.ndarray) -> np.ndarray:
     return np.linalg.qr(rows, mode="r")
 
 
-def centred(df: DataFrame, cols: list[str], by_scale: bool = True) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def centred(df: DataFrame, cols: list[str], by_scale: bool = True, flat: bool = False) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """Rows without nulls in ``cols``, each column less its mean and over its
-    standard deviation (1 where that is 0), with the means and deviations."""
+    standard deviation (1 where that is 0), with the means and deviations.
+    With ``flat``, a column whose deviation is but rounding of its mean becomes
+    0 throughout."""
     clean = df.select("*").dropna(subset=cols)
     row = clean.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     mean = np.array([row[f"m{i}"] or 0.0 for i in range(len(cols))])
     scale = np.array([row[f"s{i}"] or 1.0 for i in range(len(cols))]) if by_scale else np.ones(len(cols))
     shifted = [((F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s))).alias(c) for c, m, s in zip(cols, mean, scale)]
+    if flat:
+        still = np.array([(row[f"s{i}"] or 0.0) <= 1e-13 * abs(m) for i, m in enumerate(mean)])
+        shifted = [F.lit(0.0).alias(c) if at_rest else x for c, x, at_rest in zip(cols, shifted, still)]
+        scale = np.where(still, 1.0, scale)
     return clean.select(*[c for c in clean.columns if c not in cols], *shifted), mean, scale
 
 
@@ -78,32 +84,53 @@ def group_triangles(df: DataFrame, cols: list[str], by: str | None = None) -> Da
     return parts.withColumn("part", F.lit(0).cast("long")).groupBy("key", "part").applyInPandas(merge, schema).drop("part")
 
 
-def solved(r: np.ndarray, rhs: np.ndarray, names: list[str]) -> np.ndarray:
-    """Back substitution; raises where a pivot vanishes against its column."""
-    length = np.linalg.norm(r, axis=0)
-    weak = np.abs(np.diag(r)) <= RANK_TOLERANCE * np.maximum(length, 1e-300)
-    if weak.any():
+def weak_pivots(r: np.ndarray) -> np.ndarray:
+    """True where a pivot vanishes against its column."""
+    return np.abs(np.diag(r)) <= RANK_TOLERANCE * np.maximum(np.linalg.norm(r, axis=0), 1e-300)
+
+
+def solved(r: np.ndarray, rhs: np.ndarray, names: list[str], least_norm: bool = False) -> np.ndarray:
+    """Back substitution.  Where a pivot vanishes: the least-norm solution if
+    ``least_norm``, else ``RankDeficientDesign``."""
+    weak = weak_pivots(r)
+    if not weak.any():
+        return np.linalg.solve(r, rhs)
+    if not least_norm:
         raise RankDeficientDesign(", ".join(n for n, w in zip(names, weak) if w))
-    return np.linalg.solve(r, rhs)
+    return np.linalg.lstsq(r, rhs, rcond=RANK_TOLERANCE)[0]
+
+
+def below_heads(r: np.ndarray, h: int) -> np.ndarray:
+    """What a triangle's first ``h`` columns leave of the others; where these
+    columns are dependent, the rows of the directions they do not reach too."""
+    if not weak_pivots(r[:h, :h]).any():
+        return r[h:, h:]
+    u, size, _ = np.linalg.svd(r[:h, :h])
+    unreached = u[:, int((size > RANK_TOLERANCE * size[0]).sum()):]
+    return triangle(np.vstack([unreached.T @ r[:h, h:], r[h:, h:]]))
 
 
-def fit_triangular(df: DataFrame, features: list[str], target: str) -> dict:
+def fit_triangular(df: DataFrame, features: list[str], target: str, least_norm: bool = False) -> dict:
     """M6: pooled least squares with intercept: intercept, coefficients, n, R^2,
-    adjusted R^2.  Rows with a null are left out; a design that is not of full
-    rank raises ``RankDeficientDesign`` with the columns that cause it."""
-    rows, mean, scale = centred(df, [*features, target])
+    adjusted R^2.  Rows with a null are left out.  A design that is not of full
+    rank raises ``RankDeficientDesign`` with the columns that cause it; with
+    ``least_norm`` it gets, of the best fits, that with the least slopes of the
+    scaled columns (0 for a constant one)."""
+    rows, mean, scale = centred(df, [*features, target], flat=least_norm)
     row = group_triangles(rows, [*features, target]).first()
     k = len(features)
     r = np.frombuffer(row["factor"]).reshape(k + 2, k + 2)
-    slope = solved(r[:k + 1, :k + 1], r[:k + 1, k + 1], ["1", *features])
+    slope = solved(r[:k + 1, :k + 1], r[:k + 1, k + 1], ["1", *features], least_norm)
     coef = slope[1:] * scale[k] / scale[:k]
-    sse, sst, n = r[k + 1, k + 1] ** 2, float((r[1:, k + 1] ** 2).sum()), int(row["n"])
+    off = r[:k + 1, :k + 1] @ slope - r[:k + 1, k + 1]          # nothing but rounding where the rank is full
+    sse, sst, n = float(r[k + 1, k + 1] ** 2 + off @ off), float((r[1:, k + 1] ** 2).sum()), int(row["n"])
     r2 = 1 - sse / sst if sst > 0 else float("nan")
     return {"intercept": float(mean[k] + slope[0] * scale[k] - coef @ mean[:k]), "coef": dict(zip(features, map(float, coef))), "n": n,
             "r2": float(r2), "adj_r2": float(1 - (1 - r2) * (n - 1) / (n - k - 1)) if n > k + 1 else float("nan")}
 
 
-def fit_shared_and_heads(df: DataFrame, shared: list[str], heads: list[str], target: str, group: str) -> tuple[dict[str, float], DataFrame]:
+def fit_shared_and_heads(df: DataFrame, shared: list[str], heads: list[str], target: str, group: str,
+                         least_norm: bool = False) -> tuple[dict[str, float], DataFrame]:
     """One joint fit of slopes that all groups share and of an intercept
     and ``heads`` slopes of every group's own.
 
@@ -112,10 +139,12 @@ def fit_shared_and_heads(df: DataFrame, shared: list[str], heads: list[str], tar
     share of the reduced (Schur) system of the shared slopes.  Those shares are
     stacked into one small triangle and solved; every group then solves its own
     heads against the shared part.  Returns the shared coefficients and a table
-    ``(group, b0, heads..., n)``, one row per group.
+    ``(group, b0, heads..., n)``, one row per group.  Dependent columns raise
+    ``RankDeficientDesign`` or, with ``least_norm``, get the least slopes, shared
+    ones first.
     """
     cols = [*heads, *shared, target]
-    rows, mean, scale = centred(df, cols)
+    rows, mean, scale = centred(df, cols, flat=least_norm)
     h, s, p = len(heads) + 1, len(shared), len(cols) + 1
     kind = dict(df.dtypes)[group]
     of_group = group_triangles(rows, cols, group).persist()
@@ -124,7 +153,7 @@ def fit_shared_and_heads(df: DataFrame, shared: list[str], heads: list[str], tar
             r = np.zeros((0, s + 1))
             for pdf in batches:
                 for b in pdf["factor"]:
-                    r = triangle(np.vstack([r, np.frombuffer(b).reshape(p, p)[h:, h:]]))
+                    r = triangle(np.vstack([r, below_heads(np.frombuffer(b).reshape(p, p), h)]))
             yield pd.DataFrame({"part": [TaskContext.get().partitionId() // FAN_IN], "factor": [triangle(r).tobytes()]})
 
         def merge(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -134,14 +163,14 @@ def fit_shared_and_heads(df: DataFrame, shared: list[str], heads: list[str], tar
         schema = "part long, factor binary"
         small = of_group.mapInPandas(rest, schema).groupBy("part").applyInPandas(merge, schema)
         r = np.frombuffer(small.groupBy("part").applyInPandas(merge, schema).first()["factor"]).reshape(s + 1, s + 1)
-        slope = solved(r[:s, :s], r[:s, s], shared)
+        slope = solved(r[:s, :s], r[:s, s], shared, least_norm)
 
         def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 out = []
                 for key, n, b in zip(pdf["key"], pdf["n"], pdf["factor"]):
                     f = np.frombuffer(b).reshape(p, p)
-                    z = solved(f[:h, :h], f[:h, p - 1] - f[:h, h:p - 1] @ slope, [f"{group} {key}: {c}" for c in ["1", *heads]])
+                    z = solved(f[:h, :h], f[:h, p - 1] - f[:h, h:p - 1] @ slope, [f"{group} {key}: {c}" for c in ["1", *heads]], least_norm)
                     head = z[1:] * scale[-1] / scale[:h - 1]
                     known = head @ mean[:h - 1] + (slope * scale[-1] / scale[h - 1:-1]) @ mean[h - 1:-1]
                     out.append([key, float(mean[-1] + z[0] * scale[-1] - known), *map(float, head), int(n)])

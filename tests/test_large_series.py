@@ -244,3 +244,41 @@ def test_optional_parts_may_be_absent(missing):
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as E; q = E.queries(); " \
            "assert 'm01_weekday_mean_eval' in q and not any(k.startswith('op') for k in q) and 'pipeline' not in q"
     assert subprocess.run([sys.executable, "-c", code]).returncode == 0
+
+
+@pytest.mark.parametrize("constant", [7.0, 0.1, None])
+def test_least_norm_fit_of_a_dependent_design(spark, constant):
+    x, y = design()
+    x[:, 3] = x[:, 0] if constant is None else constant
+    fit = LS.fit_triangular(frame(spark, x, y), [f"x{i}" for i in range(4)], "y", least_norm=True)
+    z, s = x - x.mean(0), np.where(x.std(0) > 1e-12, x.std(0), 1)
+    z[:, x.std(0) <= 1e-12] = 0
+    beta = np.linalg.pinv(z / s) @ (y - y.mean()) / s
+    assert list(fit["coef"].values()) == pytest.approx(beta, rel=1e-8, abs=1e-10)
+    res = y - y.mean() - z @ beta
+    assert fit["r2"] == pytest.approx(1 - res @ res / ((y - y.mean()) @ (y - y.mean())), rel=1e-10)
+
+
+def test_shared_slopes_where_a_group_lacks_a_head_and_a_shared_column_is_constant(spark):
+    x, y = design(900, 4)
+    g = np.arange(900) % 5
+    x[:, 2], x[g == 3, 3] = 7.0, 2.0
+    y = y + g * 3.0 + g * x[:, 3]
+    coef, heads = LS.fit_shared_and_heads(frame(spark, x, y, g=g), ["x0", "x1", "x2"], ["x3"], "y", "g", least_norm=True)
+    dummy = (g[:, None] == np.arange(5)).astype(float)
+    full = np.c_[x[:, :2], dummy, dummy * x[:, 3:]]
+    want = full @ np.linalg.lstsq(full, y, rcond=None)[0]
+    rows = {r.g: r for r in heads.collect()}
+    got = x[:, :3] @ [coef[f"x{i}"] for i in range(3)] + [rows[k].b0 + rows[k].b_x3 * v for k, v in zip(g, x[:, 3])]
+    assert coef["x2"] == 0 and got == pytest.approx(want, rel=1e-8)
+
+
+def test_full_ols_where_a_measure_is_the_same_on_all_days(spark, tmp_path):
+    for name in ("lineitem", "part", "customer", "nation", "region"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF_SMALL}/{name}.parquet")
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    orders.withColumn("o_orderpriority", F.lit("3-MEDIUM")).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = {r.split: r for r in M.full_ols(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"train", "validation"} and all(np.isfinite(r.rmse) for r in rows.values())
+    assert 0 < rows["train"].r2 < 1
+    assert M.shared_heads(spark, str(tmp_path)).count() == 6
