@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import quantile_scalars
+from ..operators.quantiles import Selection, selected
 
 
 def fill_constant(df: DataFrame, cols: list[str], value) -> DataFrame:
@@ -26,13 +26,14 @@ def mean_impute(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None)
     return out
 
 
-def median_impute(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None, select: bool = False) -> DataFrame:
+def median_impute(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None,
+                  select: bool | Selection = False) -> DataFrame:
     """Fill with the exact median of ``fit_on`` (``Imputer('median')``
-    is approximate); by distributed selection where ``select`` is set, for
-    frames of any size."""
+    is approximate); by distributed selection where ``select`` is set (or
+    a ``Selection`` of that frame), for frames of any size."""
     src = fit_on if fit_on is not None else df
     if select:
-        medians = quantile_scalars(src, cols, [0.5])
+        medians = selected(src, cols, [0.5], select)
         return df.withColumns({c: F.coalesce(F.col(c), m) for c, [m] in medians.items()})
     stats = src.agg(*[F.median(c).alias(f"m_{i}") for i, c in enumerate(cols)])
     out = df

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import quantile_scalars
+from ..operators.quantiles import Selection, selected
 
 
 def _c(x) -> Column:
@@ -84,12 +84,13 @@ def quantile_category(x, edges: Column, labels=("very_cold", "cold", "mild", "wa
     return F.when(v.isNull(), F.lit(None).cast("string")).otherwise(expr.otherwise(F.lit(labels[-1])))
 
 
-def quantile_edges(train: DataFrame, col: str, probs=(0.2, 0.4, 0.6, 0.8), select: bool = False) -> Column:
+def quantile_edges(train: DataFrame, col: str, probs=(0.2, 0.4, 0.6, 0.8), select: bool | Selection = False) -> Column:
     """Exact quantile edges of ``train[col]`` as a scalar subquery
     (reference defect D16: fitted on train, applied to every split); by
-    distributed selection where ``select`` is set, for frames of any size."""
+    distributed selection where ``select`` is set (or a ``Selection`` of
+    ``train``), for frames of any size."""
     if select:
-        return F.array(*quantile_scalars(train, [col], list(probs))[col])
+        return F.array(*selected(train, [col], list(probs), select)[col])
     return train.select(F.percentile(col, F.array(*[F.lit(p) for p in probs]))).scalar()
 
 

@@ -6,8 +6,8 @@ values into intervals, one aggregate counts the rows between the pivots and at
 each of them, and only the interval that holds a wanted rank is cut again, all
 groups and columns at once.  The counts are exact, so the sketch decides how many
 rounds there are, never the result.  An interval of at most ``bound`` rows is
-sorted in one buffer.  Every round reads the rows again: store them first where
-they are dear to make.
+sorted in one buffer.  The first round reads all rows, the next ones only those
+of the intervals that are still wanted, which each round stores.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from ..sizing import checked_broadcast
 BOUND = 10_000  # rows of one interval that a buffer may hold
 SKETCH = 10_000  # accuracy of the pivots' sketch: ranks are off by n / SKETCH
 PIVOTS = 255  # cuts of an interval after the first round
+FEW = 40  # cuts that are compared one by one in generated code
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", small: bool = True) -> DataFrame:
@@ -53,7 +54,11 @@ def _cut(values: DataFrame, open_: DataFrame, keys: list[str], cuts: list[float]
     pivots = materialize(_same(bounds, pivots.withColumn("__p", F.array_sort(F.array_distinct("__p"))), ids))
     v, p = F.col("__v"), F.col("__p")
     # even bins lie between two pivots, odd ones are the rows equal to a pivot
-    place = 2 * F.size(F.filter(p, lambda x: x < v)) + F.array_contains(p, v).cast("int")
+    if len(cuts) <= FEW:
+        below = reduce(lambda a, b: a + b, [F.coalesce((F.get(p, F.lit(i)) < v).cast("int"), F.lit(0)) for i in range(len(cuts))])
+    else:
+        below = F.size(F.filter(p, lambda x: x < v))
+    place = 2 * below + F.array_contains(p, v).cast("int")
     bins = _rows_of(values, pivots, keys).groupBy(*ids, place.alias("__bin")).agg(F.count(F.lit(1)).alias("__n"))
     # at most 2 * cuts + 1 bins of an interval
     bins = bins.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("__bin", "__n"))).alias("__bins"))
@@ -112,6 +117,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list
         points, parts = _cut(values, large, keys, cuts)
         found.append(points)
         state = materialize(state.where(F.col("__n") <= bound).unionByName(parts))
+        values = materialize(_rows_of(values, state.select(*keys, "__lo", "__hi"), keys).select(*keys, "__v"))
         cuts = [(i + 1) / (PIVOTS + 1) for i in range(PIVOTS)]
     buffers = _rows_of(values, state.select(*keys, "__i", "__lo", "__hi"), keys).groupBy(*keys, "__i").agg(
         F.sort_array(F.collect_list("__v")).alias("__vs"))
@@ -143,3 +149,20 @@ def quantile_scalars(df: DataFrame, cols: list[str], probs: list[float], bound:
     stored = materialize(exact_quantiles(df, cols, probs, bound=bound))
     return {c: [stored.where((F.col("column") == c) & (F.col("p") == float(p))).select(F.max("value")).scalar()
                 for p in probs] for c in cols}
+
+
+class Selection:
+    """Quantiles of several columns of one frame, selected together: what would
+    be a selection for every step that fits a column's quantiles is one."""
+
+    def __init__(self, df: DataFrame, cols: list[str], probs: list[float], bound: int = BOUND):
+        self.probs = [float(p) for p in probs]
+        self.found = quantile_scalars(df, cols, self.probs, bound)
+
+    def scalars(self, cols: list[str], probs: list[float]) -> dict[str, list[Column]]:
+        return {c: [self.found[c][self.probs.index(float(p))] for p in probs] for c in cols}
+
+
+def selected(df: DataFrame, cols: list[str], probs: list[float], select: bool | Selection) -> dict[str, list[Column]]:
+    """The quantiles from a ``Selection`` on the same frame, else selected now."""
+    return select.scalars(cols, probs) if isinstance(select, Selection) else quantile_scalars(df, cols, probs)

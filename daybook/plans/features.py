@@ -15,6 +15,7 @@ from ..operators import enrich as J
 from ..operators import segments as SG
 from ..operators import split as SP
 from ..operators import profile as PR
+from ..operators import quantiles as QU
 from ..sources import panel as P
 from ..sources.tables import read_table
 from . import common as Q
@@ -416,9 +417,10 @@ def fact_scaling(spark, sf_dir):
         F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").cast("double").alias("price"),
         F.nullif(F.col("l_tax").cast("double"), F.lit(0.0)).alias("tax"))
     train = lines.where(F.col("day") <= P.TRAIN_END)
-    out = NU.median_impute(lines, ["tax"], fit_on=train, select=True)
-    out = SC.apply_robust(out, SC.fit_robust(train, ["price"], select=True), "_r")
-    quintile = WX.quantile_category("price", WX.quantile_edges(train, "price", select=True), ("q1", "q2", "q3", "q4", "q5"))
+    fitted = QU.Selection(train, ["price", "tax"], [0.2, 0.25, 0.4, 0.5, 0.6, 0.75, 0.8])      # one selection for all three
+    out = NU.median_impute(lines, ["tax"], fit_on=train, select=fitted)
+    out = SC.apply_robust(out, SC.fit_robust(train, ["price"], select=fitted), "_r")
+    quintile = WX.quantile_category("price", WX.quantile_edges(train, "price", select=fitted), ("q1", "q2", "q3", "q4", "q5"))
     return out.groupBy(P.split_label(F.col("day")).alias("split"), quintile.alias("quintile")).agg(
         F.count(F.lit(1)).alias("n"), rnd(F.avg("price_r"), 6).alias("price_r"),
         rnd(F.max("price_r"), 6).alias("max_price_r"), rnd(F.avg("tax"), 6).alias("tax"))

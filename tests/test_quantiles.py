@@ -11,6 +11,8 @@ from daybook.functions import weather as WX
 from daybook.operators import profile as PR
 from daybook.operators import quantiles as QU
 
+from .conftest import SF_SMALL
+
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
 
 
@@ -79,3 +81,23 @@ def test_fits_by_selection(spark):
     assert filled[0] == pytest.approx(filled[1], abs=1e-9)
     edges = [df.select(WX.quantile_edges(df, "x", select=s).alias("e")).first()["e"] for s in (False, True)]
     assert edges[0] == pytest.approx(edges[1], abs=1e-12)
+
+
+def test_fact_scaling_selects_once_for_all_its_steps(spark, monkeypatch):
+    from daybook.plans import features as FE
+    calls = []
+    plain = QU.exact_quantiles
+    monkeypatch.setattr(QU, "exact_quantiles", lambda *a, **k: calls.append(a[1]) or plain(*a, **k))
+    assert FE.fact_scaling(spark, SF_SMALL).count() > 0
+    assert calls == [["price", "tax"]]
+
+
+def test_later_rounds_read_the_open_intervals_only(spark, monkeypatch):
+    sizes = []
+    plain = QU._cut
+    monkeypatch.setattr(QU, "_cut", lambda values, *a: sizes.append(values.count()) or plain(values, *a))
+    x = np.random.default_rng(1).normal(size=60_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    got = {r["p"]: r["value"] for r in QU.exact_quantiles(df, ["x"], [0.5], bound=5).collect()}
+    assert got == {p: pytest.approx(np.quantile(x, p), rel=1e-12) for p in (0.5,)}
+    assert sizes[0] == len(x) and len(sizes) > 1 and all(n < len(x) / 100 for n in sizes[1:])
