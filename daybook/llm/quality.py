@@ -1,9 +1,12 @@
 """Quality scores by Bradley-Terry pairwise ranking.
 
 A document's strength is a linear function of its features.  Labelled rows give
-preference pairs (a good document before a poor one), and the weights maximise
-the likelihood that the better one wins: logistic loss on feature differences.
-Features are counted whole-text with array operations; the threshold is the
+preference pairs, every good document before every poor one, and the weights
+maximise the likelihood that the better one wins: logistic loss on feature
+differences.  The pairs are never listed: who wins depends on two strengths only,
+so each Newton step is one Spark aggregate of the labelled rows by label and
+strength (in steps of ``STEP``), and the pairs are those of its cells.  Features
+are counted whole-text with array operations; the threshold is the exact
 strength quantile that matches the share of poor rows among the labelled ones.
 """
 
@@ -14,10 +17,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, labelled_sample, scored, space_words
+from ..operators.quantiles import exact_quantiles
+from .common import chunks, crc_fold, scored, space_words, staged, text_of
 
 FEATURES = ("log_words", "word_length", "upper", "digit", "symbol", "bang", "bar", "other_ascii",
             "distinct", "repeat_next", "repeat_line", "short_text", "any_repeat", "any_symbol", "any_upper")
@@ -31,6 +35,8 @@ CLASSES = {
     "other_ascii": np.isin(np.arange(256), np.frombuffer(b"\"'()-/:;`+", np.uint8)),
 }
 LABEL_SHARE_AT = 0.7
+COLUMNS = [f"x{i}" for i in range(len(FEATURES))]
+STEP, WIDEST = 1 / 32, 32.0    # cells of the strengths; those beyond WIDEST share the last cell
 
 
 def per_doc(doc: np.ndarray, n: int, weight: np.ndarray | None = None) -> np.ndarray:
@@ -92,56 +98,98 @@ class Ranking:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def bradley_terry(better: np.ndarray, worse: np.ndarray, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
-    """Weights of the logistic loss on differences, by Newton steps."""
-    diff = better - worse
-    w = np.zeros(diff.shape[1])
+def labelled_features(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int,
+                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(label, x0...)`` of all labelled rows outside the held-out fold, stored.
+
+    Features are counted where the texts lie; only they move in the join.
+    """
+    def learnt(col: str) -> Column:
+        return F.col(col).isNotNull() & (crc_fold(col, folds) != held)
+
+    known = labels.filter(F.col(label).isin(0, 1) & learnt(id_col)).select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("label"))
+    rows = docs.filter(learnt(id_col)).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    schema = rows.select("id").schema
+    for c in COLUMNS:
+        schema = schema.add(c, "double")
+
+    def run(batches):
+        for part in chunks(batches):
+            x = features(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(x[:, i]) for i in range(x.shape[1]))], names=schema.names)
+
+    found = rows.mapInArrow(run, schema).join(known, F.col("id") == F.col("_id"))
+    return staged(found.select("label", *COLUMNS), "quality")
+
+
+def linear(terms: list[Column], weights: np.ndarray) -> Column:
+    out = F.lit(0.0)
+    for x, w in zip(terms, weights):
+        out = out + x * F.lit(float(w))
+    return out
+
+
+def bradley_terry(rows: DataFrame, terms: list[Column], ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
+    """Weights of the logistic loss on the differences of ``terms`` between all
+    good and all poor rows, by Newton steps; ``rows`` holds both labels."""
+    k = len(terms)
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = [F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(f"z{i}").alias(f"z{i}") for i in range(k)],
+            *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"zz{i}_{j}") for i, j in upper]]
+    scaled = rows.select("label", *[t.alias(f"z{i}") for i, t in enumerate(terms)])
+    w = np.zeros(k)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        grad = diff.T @ p / len(diff) - ridge * w
-        curve = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + ridge * np.eye(len(w))
+        strength = linear([F.col(f"z{i}") for i in range(k)], w)
+        cell = F.round(F.greatest(F.lit(-WIDEST), F.least(F.lit(WIDEST), strength)) / STEP).cast("int")
+        cells = scaled.groupBy("label", cell.alias("cell")).agg(*sums).toPandas()         # 2 x 2 x WIDEST / STEP cells at most
+        sides = []
+        for y in (1, 0):
+            side = cells[cells["label"] == y].sort_values("cell")
+            square = np.zeros((len(side), k, k))
+            for i, j in upper:
+                square[:, i, j] = square[:, j, i] = side[f"zz{i}_{j}"].to_numpy(float)
+            number, z = side["n"].to_numpy(float), side[[f"z{i}" for i in range(k)]].to_numpy(float)
+            at = z @ w / number                                            # mean strength of the cell
+            sides.append((at, number, z, square, square @ w - at[:, None] * z))
+        (at, n, z, zz, off), (at0, n0, z0, zz0, off0) = sides              # off: how the terms go with the strength in a cell
+        p = 1 / (1 + np.exp(np.clip(at[:, None] - at0, -30, 30)))          # that the poor one wins
+        v = p * (1 - p)
+        pairs = n.sum() * n0.sum()
+        grad = ((p @ n0) @ z - (v @ n0) @ off - (n @ p) @ z0 - (n @ v) @ off0) / pairs - ridge * w
+        cross = z.T @ v @ z0
+        curve = (np.tensordot(v @ n0, zz, 1) + np.tensordot(n @ v, zz0, 1) - cross - cross.T) / pairs + ridge * np.eye(k)
         step = np.linalg.solve(curve, grad)
-        w += step
+        w = np.round(w + step, 9)          # below it the order of Spark's sums shows
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
 def fit_ranking(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 4, held: int = 2,
-                max_rows: int = 6000, pairs_per_row: int = 8, id_col: str = "doc_id", text_col: str = "text") -> Ranking:
-    """Fit on about ``max_rows`` labelled rows outside the held-out fold (half
-    good, half poor where there are so many) and ``pairs_per_row`` pairs each.
+                id_col: str = "doc_id", text_col: str = "text") -> Ranking:
+    """Fit on all labelled rows outside the held-out fold, whatever their number,
+    and all pairs of a good and a poor one.
 
-    Only the rows' features (a fixed number of doubles) come to the driver.
-    Without both labels the weights are 0 and every score is ``LABEL_SHARE_AT``.
+    Sums and quantiles are Spark aggregates; nothing that grows with the rows
+    comes to the driver.  Without both labels the weights are 0 and every score
+    is ``LABEL_SHARE_AT``.
     """
-    sample, counts = labelled_sample(docs, labels, label, folds, held, (max_rows // 2, max_rows // 2), id_col, text_col)
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("id").cast("string"), pa.array(features(batch.column("text")).tolist())],
-                                                 names=["label", "id", "x"])
-
-    rows = sorted(sample.select("label", F.col("id").cast("string").alias("id"), "text").mapInArrow(run, "label int, id string, x array<double>").collect())
-    y = np.array([r[0] for r in rows], int)
-    x = np.array([r[2] for r in rows], float).reshape(len(rows), len(FEATURES))
-    if not 0 < y.sum() < len(y):
-        return Ranking(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), 0.0, 1.0)
-    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = (x - mean) / spread
-    good, poor = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    draw = np.random.default_rng(9)
-    n = pairs_per_row * len(y)
-    w = bradley_terry(z[draw.choice(good, n)], z[draw.choice(poor, n)])
-    strength = z @ w
-    # every row weighs what it stands for, so the quantile is that of all labelled rows
-    weight = np.where(y == 1, counts[1] / len(good), counts[0] / len(poor))
-    order = np.argsort(strength, kind="stable")
-    below = np.cumsum(weight[order]) / weight.sum()
-    at = int(np.searchsorted(below, counts[0] / (counts[0] + counts[1])))
-    cut = float(strength[order[min(at, len(order) - 1)]] + strength[order[min(at + 1, len(order) - 1)]]) / 2
-    slope = 4 / max(1e-6, float(np.median(np.abs(strength - cut))))
+    k = len(FEATURES)
+    rows = labelled_features(docs, labels, label, folds, held, id_col, text_col)
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("good"), *[F.avg(c).alias(f"m{c}") for c in COLUMNS],
+                     *[F.stddev_pop(c).alias(f"s{c}") for c in COLUMNS]).first()
+    n, poor = int(total["n"]), int(total["n"] - total["good"])
+    if not 0 < poor < n:
+        return Ranking(np.zeros(k), np.ones(k), np.zeros(k), 0.0, 1.0)
+    mean = np.round([total[f"m{c}"] for c in COLUMNS], 12)
+    spread = np.maximum(np.round([total[f"s{c}"] for c in COLUMNS], 12), 1e-6)
+    terms = [(F.col(c) - float(m)) / float(s) for c, m, s in zip(COLUMNS, mean, spread)]
+    w = bradley_terry(rows, terms)
+    strength = rows.select(linear(terms, w).alias("strength"))
+    # half way between the strongest of as many rows as are poor and the next one
+    cut = float(exact_quantiles(strength, ["strength"], [(poor - 0.5) / (n - 1)]).first()["value"])
+    off = strength.select(F.abs(F.col("strength") - cut).alias("off"))
+    slope = 4 / max(1e-6, float(exact_quantiles(off, ["off"], [0.5]).first()["value"]))
     return Ranking(mean, spread, w, cut, slope)
 
 
