@@ -84,15 +84,16 @@ class Models:
         border = np.flatnonzero(chars == ord(BORDER))
         since = np.arange(len(chars)) - border[np.searchsorted(border, np.arange(len(chars)), "left") - 1]
         since[0] = 0               # characters since the border before: no n-gram reaches across
+        hashed = [gram_hash(chars, n) for n in range(ORDER + 1)]
         for n in range(ORDER, 0, -1):
-            h = gram_hash(chars, n)
+            h = hashed[n]
             usable = since[left] >= n - 1 if n > 1 else np.ones(len(left), bool)
             hashes, values = self.grams[n]
             near = np.minimum(np.searchsorted(hashes, h[left]), len(hashes) - 1)
             seen = usable & (hashes[near] == h[left])
             total[left[seen]] = weight[seen] + values[near[seen]]
             if n > 1:
-                hc = gram_hash(chars, n - 1)
+                hc = hashed[n - 1]
                 hashes, values = self.contexts[n]
                 near = np.minimum(np.searchsorted(hashes, hc[left - 1]), len(hashes) - 1)
                 back = usable & ~seen & (hashes[near] == hc[left - 1])
@@ -182,6 +183,33 @@ def word_grams(word: str) -> Iterator[str]:
         yield marked[max(0, end - ORDER):end]
 
 
+def longest_grams(words: list[str], counts: np.ndarray) -> dict[str, int]:
+    """The n-grams of ``word_grams`` for all pieces of ``words`` (as of
+    ``letter_words``, none empty), where every word counts ``counts`` times."""
+    joined = BORDER + "".join([w + BORDER for w in words])
+    chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    alphabet, coded = np.unique(chars, return_inverse=True)
+    out: dict[str, int] = defaultdict(int)
+    if len(alphabet) > 0xFFFF:         # no room for four codes in one key
+        for word, n in zip(words, counts):
+            for gram in (g for piece in word.split(BORDER) for g in word_grams(piece)):
+                out[gram] += int(n)
+        return out
+    coded = coded.astype(np.uint64) + np.uint64(1)         # 0: no character
+    at = np.arange(len(chars))
+    since = at[1:] - np.maximum.accumulate(np.where(chars == ord(BORDER), at, 0))[:-1]
+    key = coded[1:].copy()
+    for back in range(1, ORDER):
+        far = np.flatnonzero(since >= back)                # the n-gram does not reach across the border before
+        key[far] |= coded[far + 1 - back] << np.uint64(16 * back)
+    kinds, which = np.unique(key, return_inverse=True)
+    total = np.zeros(len(kinds), np.int64)
+    np.add.at(total, which, np.repeat(np.asarray(counts, np.int64), [len(w) + 1 for w in words]))
+    letters = ["", *map(chr, alphabet.tolist())]
+    columns = [((kinds >> np.uint64(16 * back)) & np.uint64(0xFFFF)).tolist() for back in range(ORDER - 1, -1, -1)]
+    return dict(zip(("".join([letters[c] for c in codes]) for codes in zip(*columns)), total.tolist()))
+
+
 def fit_languages(docs: DataFrame, folds: int = 3, held: int = 1,
                   id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Models:
     """Fit on all documents with a language outside the held-out fold: those
@@ -203,13 +231,14 @@ def fit_languages(docs: DataFrame, folds: int = 3, held: int = 1,
         for part in chunks(batches):
             doc, code, words = space_words(part.column("text"))
             lang = np.array(part.column("lang").to_pylist(), object)
-            grams: dict[tuple[str, str], int] = defaultdict(int)
+            grams: dict[tuple[str, str], int] = {}
             names, of = np.unique(lang.astype(str), return_inverse=True)
-            for key, n in zip(*np.unique(of[doc] * max(1, len(words)) + code, return_counts=True)):
-                for piece in letter_words(words[key % len(words)]).split(BORDER):
-                    if piece:
-                        for gram in word_grams(piece):
-                            grams[names[key // len(words)], gram] += int(n)
+            clean = [letter_words(w) for w in words]
+            key, n = np.unique(of[doc] * max(1, len(words)) + code, return_counts=True)
+            for k, name in enumerate(names):
+                mine = [(i, c) for i, c in zip((key - k * len(words)).tolist(), n.tolist()) if 0 <= i < len(words) and clean[i]]
+                found = longest_grams([clean[i] for i, _ in mine], np.array([c for _, c in mine], np.int64))
+                grams.update({(name, gram): c for gram, c in found.items()})
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in grams], pa.string()), pa.array([k[1] for k in grams], pa.string()),
                                               pa.array(list(grams.values()), pa.int64())], names=["lang", "gram", "n"])
 
