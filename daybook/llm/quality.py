@@ -37,6 +37,7 @@ CLASSES = {
 LABEL_SHARE_AT = 0.7
 COLUMNS = [f"x{i}" for i in range(len(FEATURES))]
 STEP, WIDEST = 1 / 32, 32.0    # cells of the strengths; those beyond WIDEST share the last cell
+BUFFER = 100_000               # strengths that a quantile may sort in one buffer
 
 
 def per_doc(doc: np.ndarray, n: int, weight: np.ndarray | None = None) -> np.ndarray:
@@ -187,9 +188,9 @@ def fit_ranking(docs: DataFrame, labels: DataFrame, label: str = "quality", fold
     w = bradley_terry(rows, terms)
     strength = rows.select(linear(terms, w).alias("strength"))
     # half way between the strongest of as many rows as are poor and the next one
-    cut = float(exact_quantiles(strength, ["strength"], [(poor - 0.5) / (n - 1)]).first()["value"])
+    cut = float(exact_quantiles(strength, ["strength"], [(poor - 0.5) / (n - 1)], bound=BUFFER).first()["value"])
     off = strength.select(F.abs(F.col("strength") - cut).alias("off"))
-    slope = 4 / max(1e-6, float(exact_quantiles(off, ["off"], [0.5]).first()["value"]))
+    slope = 4 / max(1e-6, float(exact_quantiles(off, ["off"], [0.5], bound=BUFFER).first()["value"]))
     return Ranking(mean, spread, w, cut, slope)
 
 
